@@ -295,7 +295,8 @@ def _(spark, d):
   dp AS (SELECT a.doc_id, sum(a.n * b.n) AS dot FROM c a JOIN c b ON b.doc_id = a.doc_id + 1 AND a.w = b.w GROUP BY ALL)
   SELECT a.doc_id, round(CASE WHEN x.s IS NULL OR y.s IS NULL THEN 0 ELSE coalesce(dot, 0) / (x.s * y.s) END, 6) AS cosine FROM documents a JOIN documents b ON b.doc_id = a.doc_id + 1 LEFT JOIN dp ON dp.doc_id = a.doc_id LEFT JOIN s x ON x.doc_id = a.doc_id LEFT JOIN s y ON y.doc_id = b.doc_id""")
 def _(spark, d):
-    a, b = docs(spark, d).select("doc_id", token_counts(T.topic_tokens("text")).alias("x")), docs(spark, d).select((F.col("doc_id") - 1).alias("doc_id"), token_counts(T.topic_tokens("text")).alias("y"))
-    return a.join(b, "doc_id").select("doc_id", F.round(cosine_counts("x", "y"), 6).alias("cosine"))
-
-
+    base = docs(spark, d)
+    counts = token_counts(base, "doc_id", T.topic_tokens("text"))
+    pairs = base.select("doc_id", (F.col("doc_id") + 1).alias("other")).join(base.select(F.col("doc_id").alias("other")), "other")
+    return cosine_counts(pairs.withColumnRenamed("doc_id", "left_id"), counts, "doc_id", "left_id", "other").select(
+        F.col("left_id").alias("doc_id"), F.round("cosine", 6).alias("cosine"))

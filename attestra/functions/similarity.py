@@ -5,7 +5,7 @@ from __future__ import annotations
 import difflib
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -25,21 +25,19 @@ def overlap(a, b) -> Column:
     return F.when(least > 0, F.size(F.array_intersect(a, b)) / least).otherwise(0.0)
 
 
-def token_counts(tokens) -> Column:
-    """map<token, count>: the sorted tokens folded into run lengths, so the cost is that of one sort."""
-    t = F.array_sort(as_col(tokens))
-    pos = F.transform(t, lambda x, i: F.struct(x.alias("w"), i.alias("i")))
-    starts = F.filter(pos, lambda s: (s["i"] == 0) | (F.get(t, s["i"] - 1) != s["w"]))
-    sizes = F.transform(starts, lambda s, k: F.coalesce(F.get(starts, k + 1)["i"], F.size(t)) - s["i"])
-    return F.map_from_arrays(F.transform(starts, lambda s: s["w"]), sizes)
+def token_counts(df: DataFrame, key: str, tokens) -> DataFrame:
+    """Long count vectors: one row per key and token."""
+    return df.select(key, F.explode(as_col(tokens)).alias("token")).groupBy(key, "token").agg(F.count("*").alias("n"))
 
 
-def cosine_counts(a, b) -> Column:
-    a, b = as_col(a), as_col(b)
-    norm = lambda m: F.sqrt(F.aggregate(F.map_values(m), F.lit(0.0), lambda acc, x: acc + x.cast("double") * x))
-    both = F.map_zip_with(a, b, lambda _, x, y: F.coalesce(x * y, F.lit(0)).cast("double"))
-    dot = F.aggregate(F.map_values(both), F.lit(0.0), lambda acc, x: acc + x)
-    return F.coalesce(F.try_divide(dot, norm(a) * norm(b)), F.lit(0.0))
+def cosine_counts(pairs: DataFrame, counts: DataFrame, key: str, left: str, right: str) -> DataFrame:
+    """Cosine of the count vectors of given pairs; 0 where a side has no tokens."""
+    norm = counts.groupBy(key).agg(F.sqrt(F.sum(F.col("n") * F.col("n"))).alias("norm"))
+    side = lambda df, k, names: df.select(*[F.col(a).alias(b) for a, b in ((key, k), *names)])
+    a = pairs.join(side(counts, left, (("token", "token"), ("n", "_a"))), left)
+    dot = a.join(side(counts, right, (("token", "token"), ("n", "_b"))), [right, "token"]).groupBy(left, right).agg(F.sum(F.col("_a") * F.col("_b")).alias("_dot"))
+    out = pairs.join(dot, [left, right], "left").join(side(norm, left, (("norm", "_x"),)), left, "left").join(side(norm, right, (("norm", "_y"),)), right, "left")
+    return out.select(*pairs.columns, F.coalesce(F.try_divide(F.col("_dot"), F.col("_x") * F.col("_y")), F.lit(0.0)).alias("cosine"))
 
 
 def cosine_vectors(a, b) -> Column:

@@ -317,10 +317,14 @@ def severity_rank(severity) -> Column:
 # --- D7 repeated sentences ------------------------------------------------------------------------
 def dedupe_sentences(text) -> Column:
     """Sentences in order, a repeat in any case left out."""
-    parts = F.filter(F.transform(F.split(strip_space(text), r"(?U)(?<=[.!?])\s+"), lambda s: strip_space(s)), lambda s: s != "")
-    low = F.transform(parts, lambda s: F.lower(s))
-    firsts = F.transform(F.array_distinct(low), lambda s: F.element_at(parts, F.array_position(low, s).cast("int")))
-    return F.array_join(firsts, " ")
+    parts = F.filter(F.transform(F.split(as_col(text), r"(?U)(?<=[.!?])\s+"), lambda s: strip_space(s)), lambda s: s != "")
+    none = F.array().cast(ARRAY)
+
+    def fold(acc, s):
+        return F.when(F.array_contains(acc["seen"], F.lower(s)), acc).otherwise(
+            F.struct(F.array_append(acc["seen"], F.lower(s)).alias("seen"), F.array_append(acc["kept"], s).alias("kept")))
+
+    return F.aggregate(parts, F.struct(none.alias("seen"), none.alias("kept")), fold, lambda acc: F.array_join(acc["kept"], " "))
 
 
 # --- H25 fingerprints -----------------------------------------------------------------------------
