@@ -237,7 +237,7 @@ def profiles(spark, d):
     js = """to_json(named_struct('symbol', CASE WHEN doc_id % 2 = 0 THEN concat('S', doc_id) END, 'ipnft', named_struct('name', source, 'initialSymbol', concat('I', doc_id), 'description', CASE WHEN lang = 'en' THEN 'a  b' END,
       'researchLead', CASE WHEN doc_id % 3 = 0 THEN named_struct('name', concat('L', doc_id)) END, 'fundingAmountValue', CASE WHEN doc_id % 5 = 0 THEN '2500' END, 'fundingAmountDecimals', 2, 'fundingAmountCurrency', 'USD',
       'agreements', CASE WHEN doc_id % 4 = 0 THEN array(named_struct('type', 'X'), named_struct('type', 'Y')) END, 'createdAt', '2024', 'ipt', CASE WHEN doc_id % 7 = 0 THEN named_struct('symbol', 'T', 'markets', array(named_struct('liquidityUsd', 5))) END,
-      'links', array(named_struct('homepage', concat('https://x.com/u', doc_id), 'tokenUri', 'ipfs://skip'), named_struct('homepage', 'no url')))))"""
+      'links', array(named_struct('homepage', concat('https://x.com/u', doc_id), 'tokenUri', 'ipfs://skip'), named_struct('homepage', 'no url', 'tokenUri', 'none')))))"""
     return docs(spark, d).selectExpr("doc_id", f"parse_json({js}) AS profile")
 
 
@@ -293,7 +293,7 @@ def _(spark, d):
     return ST.discover_round(m.filter("doc_id % 3 <> 0"), m.filter("doc_id % 3 = 0"), ["compound"], "source_type", "material_key", ["doc_id"], {"europe_pmc": (2, 9)}).select("doc_id", "material_key")
 
 
-@query("round_meta", "SELECT source AS compound, doc_id % 3 AS round, lang AS source_type, count(*) AS new_rows, count(*) < CASE lang WHEN 'en' THEN 5 ELSE 2 END AS exhausted FROM documents GROUP BY ALL")
+@query("round_meta", "SELECT source AS compound, doc_id % 3 AS round, lang AS source_type, count(*) AS new_rows, count(*) < CASE lang WHEN 'en' THEN 5 ELSE 2 END AS exhausted FROM documents GROUP BY source, doc_id % 3, lang")
 def _(spark, d):
     r = docs(spark, d).select(F.col("source").alias("compound"), (F.col("doc_id") % 3).alias("round"), F.col("lang").alias("source_type"))
     return ST.round_meta(r, "round", ["compound"], "source_type", {"en": (5, 9)}, 2)
@@ -305,9 +305,9 @@ def echo(answer):
     return lambda prompts: [answer(p) for p in prompts]
 
 
-@query("model_map", "SELECT doc_id, upper(substr(text, 1, 20)) AS answer FROM documents")
+@query("model_map", "SELECT doc_id, '<' || substr(text, 1, 20) || '>' AS answer FROM documents")
 def _(spark, d):
-    return MO.model_map(docs(spark, d).select("doc_id", "text"), F.substring("text", 1, 20), echo(str.upper)).select("doc_id", "answer")
+    return MO.model_map(docs(spark, d).select("doc_id", "text"), F.substring("text", 1, 20), echo(lambda x: f"<{x}>")).select("doc_id", "answer")
 
 
 @query("model_verdicts", "SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'supported' WHEN 1 THEN 'unsupported' ELSE 'validation_error' END AS verdict, doc_id % 3 = 2 AS validation_error FROM documents")
@@ -355,7 +355,7 @@ def _(spark, d):
     return MO.classify_headings(c, F.col("_h"), echo(lambda x: "Method" if x == "en" else "what"), ("method", "result")).select("doc_id", "semantic_category")
 
 
-@query("model_payload", "WITH t AS (SELECT source, lang, doc_id FROM documents QUALIFY row_number() OVER (PARTITION BY source, lang ORDER BY doc_id) <= 12) SELECT source, lang, '{\"source\":\"' || source || '\",\"lang\":\"' || lang || '\",\"units\":[' || string_agg('{\"doc_id\":' || doc_id || '}', ',' ORDER BY doc_id) || ']}' AS payload FROM t GROUP BY ALL")
+@query("model_payload", "WITH t AS (SELECT source, lang, doc_id FROM documents QUALIFY row_number() OVER (PARTITION BY source, lang ORDER BY doc_id) <= 12) SELECT source, lang, '{\"source\":\"' || source || '\",\"lang\":\"' || lang || '\",\"units\":[' || string_agg('{\"doc_id\":' || doc_id || '}', ',' ORDER BY doc_id) || ']}' AS payload FROM t GROUP BY source, lang")
 def _(spark, d):
     return MO.payload(docs(spark, d), ["source", "lang"], ["doc_id"], ["doc_id"])
 

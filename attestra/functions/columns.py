@@ -43,7 +43,8 @@ def blank_to_null(c: Column | str) -> Column:
 
 
 def clamp(c: Column, low: float, high: float) -> Column:
-    return F.greatest(F.lit(low), F.least(F.lit(high), c))
+    """Bounded value; null stays null (least and greatest skip nulls)."""
+    return F.when(c.isNotNull(), F.greatest(F.lit(low), F.least(F.lit(high), c)))
 
 
 def case(*branches: tuple[Column, Column | str], default: Column | str | None = None) -> Column:
