@@ -58,7 +58,14 @@ _SQL = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in ("documents", "pages") else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Long texts over all cores when the scan has fewer splits than cores (one small file); a real data set stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
 def claims(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -96,10 +96,14 @@ def rule_text(source_type="source_type", content_json="content_json", payload_js
         plain_json(content_json), plain_json(payload_json) if payload_json is not None else F.lit("null"))
 
 
-def longevity_override(text: Column, source_type, current, flagged: Column | None = None, patterns: Mapping[str, str] = PATTERNS) -> Column:
+def pattern_hits(text: Column, patterns: Mapping[str, str] = PATTERNS) -> Column:
+    """struct of one boolean per pattern: every pattern runs once per row, and the rules read the flags."""
+    return F.struct(*[matches(text, p).alias(k) for k, p in patterns.items()])
+
+
+def longevity_override(hit: Mapping[str, Column], source_type, current, flagged: Column | None = None) -> Column:
     """Longevity tag after the word rules. ``flagged`` tells whether a pathway summary has a true flag."""
     source, cur = text_of(source_type), as_col(current)
-    hit = {k: matches(text, patterns[k]) for k in ("direct", "indirect", "aging_context", "oncology")}
     weak = cur.isNull() | cur.isin("background_only", "not_relevant")
     raised = case(
         (hit["direct"] & weak, "direct_longevity"),
@@ -120,11 +124,10 @@ def _stronger(current: Column, candidate: Column) -> Column:
     return F.when(rank(candidate) > rank(current), candidate).otherwise(current)
 
 
-def risk_override(text: Column, source_type, current, patterns: Mapping[str, str] = PATTERNS) -> Column:
+def risk_override(hit: Mapping[str, Column], source_type, current) -> Column:
     """Risk tag after the source rules, the word rules and the assay demotion; the stronger tag is kept."""
     source, cur = text_of(source_type), as_col(current)
-    safety, toxic = matches(text, patterns["human_safety"]), matches(text, patterns["toxicity"])
-    interacts = matches(text, patterns["interaction"]) | matches(text, patterns["combination"])
+    safety, toxic, interacts = hit["human_safety"], hit["toxicity"], hit["interaction"] | hit["combination"]
     human = F.lit("direct_human_safety")
     base = case((source == "openfda_drug_label", human), ((source == "clinical_trials") & (safety | toxic), human))
     candidate = case(

@@ -77,10 +77,13 @@ def borrow_citations(claims: DataFrame, chunks: DataFrame, doc: str = "doc_name"
     distinct = needle.select(doc, "_needle").distinct().withColumn("_seed", F.array_min(_seeds(F.col("_needle"))))
     texts = numbered.filter(F.size("_nums") > 0).select(doc, normalize(text, "fold").alias("_text"), F.explode("_nums").alias("_n")).groupBy(doc, "_text").agg(
         F.collect_set("_n").alias("_ns"))
-    seeded = texts.select(doc, "_text", "_ns", F.explode(F.array_distinct(_seeds(F.col("_text")))).alias("_seed"))
-    met = seeded.join(distinct.filter("_seed IS NOT NULL"), [doc, "_seed"]).filter(F.contains("_text", F.col("_needle")))
+    # Exploded rows carry ids only; texts come back for the candidates. Merge joins, since the exploded size is not bounded.
+    texts = texts.withColumn("_tid", F.sha2("_text", 256))
+    seeded = texts.select(doc, "_tid", F.explode(F.array_distinct(_seeds(F.col("_text")))).alias("_seed"))
+    candidates = seeded.hint("merge").join(distinct.filter("_seed IS NOT NULL"), [doc, "_seed"]).select(doc, "_tid", "_needle").distinct()
+    met = texts.hint("merge").join(candidates, [doc, "_tid"]).filter(F.contains("_text", F.col("_needle")))
     bare_needles = distinct.filter("_seed IS NULL").drop("_seed")  # one long word: rare, met on the document alone
-    few = texts.join(bare_needles, doc).filter(F.contains("_text", F.col("_needle")))
+    few = texts.hint("merge").join(bare_needles, doc).filter(F.contains("_text", F.col("_needle")))
     hits = met.select(doc, "_needle", "_ns").unionByName(few.select(doc, "_needle", "_ns"))
     lent = hits.select(doc, "_needle", F.explode("_ns").alias("_n")).groupBy(doc, "_needle").agg(F.array_sort(F.collect_set("_n")).alias("numbers"))
     return needle.select(claim_id, doc, "_needle").join(lent, [doc, "_needle"]).select(claim_id, "numbers")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from attestra.functions.columns import as_col, case, clamp, contains_any, lit_array, lookup, text_of
 from attestra.functions.excerpts import label_sections, snippet
-from attestra.functions.rules import longevity_override, risk_override, rule_text
+from attestra.functions.rules import PATTERNS, longevity_override, pattern_hits, risk_override, rule_text
 from attestra.functions.variant import any_field, field, list_field, text_field
 from attestra.operators.ranking import distinct_first, first_rows
 
@@ -103,10 +103,11 @@ def reuse_tags(rows: DataFrame, cache: DataFrame, key: str = "material_key", tag
 def apply_rules(rows: DataFrame) -> DataFrame:
     """Both overrides over the rule text, which is built once per row."""
     flags = F.exists(F.map_values(field("content", "longevity_pathway_flags", "map<string,boolean>")), lambda v: v)
-    text = rows.withColumn("_text", rule_text(content_json=F.to_json("content")))
-    longevity = longevity_override(F.col("_text"), "source_type", "longevity_relevance", flags)
-    return text.withColumns({"_l": longevity, "_r": risk_override(F.col("_text"), "source_type", "risk_relevance")}).withColumns(
-        {"longevity_relevance": F.col("_l"), "risk_relevance": F.col("_r")}).drop("_text", "_l", "_r")
+    text = rows.withColumn("_text", rule_text(content_json=F.to_json("content"))).withColumn("_hits", pattern_hits(F.col("_text"))).drop("_text")
+    hits = {k: F.col(f"_hits.{k}") for k in PATTERNS}
+    longevity = longevity_override(hits, "source_type", "longevity_relevance", flags)
+    return text.withColumns({"_l": longevity, "_r": risk_override(hits, "source_type", "risk_relevance")}).withColumns(
+        {"longevity_relevance": F.col("_l"), "risk_relevance": F.col("_r")}).drop("_hits", "_l", "_r")
 
 
 def compound_scores(units: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -172,8 +173,10 @@ def _contained(texts: DataFrame, needles: DataFrame, key: str, text: str, needle
     n = needles.select(key, low.alias("_needle")).filter("_needle <> ''").distinct().withColumn("_gram", F.substring("_needle", 1, gram))
     short = n.filter(F.length("_needle") < gram)
     t = texts.withColumn("_low", F.lower(F.col(text)))
-    grams = t.withColumn("_gram", F.explode(F.array_distinct(F.regexp_extract_all("_low", F.lit(rf"(?s)(?=(.{{{gram}}}))"), 1))))
-    met = grams.join(n.filter(F.length("_needle") >= gram), [key, "_gram"]).filter(F.contains("_low", F.col("_needle"))).drop("_gram")
+    t = t.withColumn("_tid", F.sha2("_low", 256))
+    grams = t.select(key, "_tid", F.explode(F.array_distinct(F.regexp_extract_all("_low", F.lit(rf"(?s)(?=(.{{{gram}}}))"), 1))).alias("_gram"))
+    candidates = grams.hint("merge").join(n.filter(F.length("_needle") >= gram), [key, "_gram"]).select(key, "_tid", "_needle").distinct()
+    met = t.hint("merge").join(candidates, [key, "_tid"]).filter(F.contains("_low", F.col("_needle")))
     few = t.join(short.drop("_gram"), [key]).filter(F.contains("_low", F.col("_needle")))
     return met.unionByName(few.select(met.columns))
 
@@ -268,9 +271,10 @@ def name_mentions(items: DataFrame, blocks: DataFrame, bundle: str, item: str, s
     Tokens and blocks meet on (bundle, first four letters), not on every pair of items.
     """
     tokens = items.select(bundle, F.col(item).alias("_target"), F.explode(name_tokens(item)).alias("_token")).withColumn("_gram", F.substring("_token", 1, 4))
-    grams = blocks.select(bundle, item, seq, F.lower(F.col(text)).alias("_low"), F.col(text).alias("_text")).withColumn(
-        "_gram", F.explode(F.array_distinct(F.regexp_extract_all("_low", F.lit(r"(?s)(?=(.{4}))"), 1))))
-    hit = grams.join(tokens, [bundle, "_gram"]).filter((F.col(item) != F.col("_target")) & F.contains("_low", F.col("_token")))
+    low = F.lower(F.col(text))
+    grams = blocks.select(bundle, item, seq, F.explode(F.array_distinct(F.regexp_extract_all(low, F.lit(r"(?s)(?=(.{4}))"), 1))).alias("_gram"))
+    near = grams.hint("merge").join(tokens, [bundle, "_gram"]).filter(F.col(item) != F.col("_target")).select(bundle, item, seq, "_target", "_token").distinct()
+    hit = blocks.select(bundle, item, seq, low.alias("_low")).hint("merge").join(near, [bundle, item, seq]).filter(F.contains("_low", F.col("_token")))
     first = hit.groupBy(bundle, F.col("_target").alias("mentioned"), F.col(item).alias("found_in")).agg(
         F.min(F.struct(F.col(seq), F.col("_token"))).alias("_first"))
     at = first.select(bundle, "mentioned", "found_in", F.col(f"_first.{seq}").alias(seq), F.col("_first._token").alias("token"))
