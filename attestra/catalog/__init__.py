@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from attestra.catalog import claims, compounds, dups, jobs, reviews, texts  # noqa: F401
+from attestra.catalog import claims, compounds, dups, jobs, plans, reviews, texts  # noqa: F401
 from attestra.catalog.registry import ORACLES, QUERIES  # noqa: F401

@@ -14,6 +14,7 @@ from attestra.functions.columns import as_col, case, lookup, text_of
 
 LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]"
 WORD_GAP = r"(?U)\s+"
+SPACES = "".join(chr(c) for c in (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
 ARRAY = "array<string>"
 
 
@@ -23,7 +24,8 @@ def collapse(text) -> Column:
 
 
 def strip_space(text) -> Column:
-    return F.regexp_replace(as_col(text), r"(?U)^\s+|\s+$", "")
+    """Both ends without any whitespace character."""
+    return F.trim(as_col(text), F.lit(SPACES))
 
 
 def split_lines(text) -> Column:
