@@ -106,8 +106,10 @@ def context_sections(claims: DataFrame, chunks: DataFrame, k: int = 1, budget: i
     short = first_rows(typed, [doc, "_type"], ["chunk_id"], budget // 3 + 2 * k + 2).select(doc, "_type", F.col("chunk_id").alias("_chunk"), F.col(text).alias("_text"))
     # Chunks that could ever matter: the budget's worth plus the near ones a claim leaves out.
     from attestra.operators.ranking import running
-    sized = running(short.withColumn("_k", F.xxhash64(doc, "_type")), ["_k"], "_chunk", F.length("_text").cast("long"), "_sum")
-    bounded = sized.filter(F.col("_sum") - F.length("_text") <= budget * (2 * k + 2))
+    # A near chunk takes at most one budget off the sum, so rows past 2k+2 budgets can never be reached.
+    size = F.least(F.length("_text"), F.lit(budget)).cast("long")
+    sized = running(short.withColumn("_k", F.xxhash64(doc, "_type")), ["_k"], "_chunk", size, "_sum")
+    bounded = sized.filter(F.col("_sum") - size < budget * (2 * k + 2))
     joined = claims.select(claim_id, doc, F.col(claim_type).alias("_type"), F.col(source).alias("_src")).join(bounded, [doc, "_type"]).filter(F.abs(F.col("_chunk") - F.col("_src")) > k)
     return concat_budget(joined, [claim_id], ["_chunk"], "_text", budget, name="context")
 
