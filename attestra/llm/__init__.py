@@ -1,4 +1,4 @@
 """Operators of a large-scale training-data pipeline; each module has one operator and its query."""
 
-from attestra.llm import chat, sharding  # noqa: F401
+from attestra.llm import chat, licenses, lines, sharding  # noqa: F401
 from attestra.llm.common import ORACLES, QUERIES  # noqa: F401

@@ -111,7 +111,7 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
   coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
   sum(length('<turn >') + length(role) + 1 + length(replace(text, '\', '\b')) + len(regexp_extract_all(text, '</?turn')) + length('</turn>') + 1)::BIGINT AS formatted_chars
-FROM c GROUP BY conv_id""".replace("\\\\", "\\")
+FROM c GROUP BY conv_id"""
 
 
 @query("op5_reply_trees", ORACLE)
