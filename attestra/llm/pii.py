@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, MapType, StringType, StructField, StructType
 
 from attestra.llm.common import query, table
 
@@ -218,7 +219,7 @@ def pseudonymised(docs: DataFrame, text: str = "text", key: str = "documents", f
                 columns.append(pa.array([sorted((k, ks.count(k)) for k in set(ks)) for _, ks in got], kind))
             yield pa.record_batch(columns, names)
 
-    schema = docs.schema.add(found, "map<string,int>") if found else docs.schema
+    schema = StructType([*docs.schema.fields, StructField(found, MapType(StringType(), IntegerType()))]) if found else docs.schema
     return docs.mapInArrow(run, schema)
 
 
