@@ -15,7 +15,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attestra.llm.common import query, stored, table
@@ -200,14 +200,33 @@ def checked(width: int, percent: int):
 BIT_ROWS = 1 << 17
 
 
+def row_hash(id_col, text) -> Column:
+    """Names a row by its id and text; rows that repeat both share it."""
+    return F.xxhash64(F.col(id_col).cast("string"), F.col(text))
+
+
+def bit_table(named: DataFrame) -> DataFrame:
+    """word, bits: at most ``BIT_ROWS`` rows whatever the input, with a bit set for every row hash in column row."""
+    word, bit = bit_place(F.col("row"))
+    return named.groupBy(word.alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("bits"))
+
+
+def bit_place(row: Column) -> tuple[Column, Column]:
+    return F.floor(F.pmod(row, F.lit(BIT_ROWS * 64)) / 64), F.pmod(row, F.lit(64)).cast("int")
+
+
+def maybe_named(rows: DataFrame, named: DataFrame, wanted: bool = True) -> DataFrame:
+    """Rows (column row) that ``named`` may hold, or those it does not hold for sure; no row is shuffled."""
+    word, bit = bit_place(F.col("row"))
+    joined = rows.withColumn("word", word).join(F.broadcast(bit_table(named)), "word", "left")
+    hit = F.getbit(F.coalesce("bits", F.lit(0).cast("long")), bit) == 1
+    return joined.filter(hit if wanted else ~hit).drop("word", "bits")
+
+
 def named_texts(rows: DataFrame, base: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node, text of one row for each node. A bit table of fixed size, broadcast, keeps most other texts out of the shuffle; the join after it is exact."""
+    """node, text of one row for each node. A bit table of fixed size keeps most other texts out of the shuffle; the join after it is exact."""
     ids = stored(base.join(nodes, "node").groupBy("node").agg(F.min("row").alias("row")), "named")
-    spot = F.pmod(F.col("row"), F.lit(BIT_ROWS * 64))
-    word, bit = F.floor(spot / 64), F.pmod(F.col("row"), F.lit(64)).cast("int")
-    bits = ids.groupBy(word.alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("bits"))
-    near = rows.withColumn("word", word).join(F.broadcast(bits), "word").filter(F.getbit("bits", bit) == 1).select("row", "text")
-    return near.join(ids, "row").groupBy("node").agg(F.min("text").alias("text"))
+    return maybe_named(rows, ids).select("row", "text").join(ids, "row").groupBy("node").agg(F.min("text").alias("text"))
 
 
 def verified(pairs: DataFrame, rows: DataFrame, base: DataFrame, width: int, percent: int) -> DataFrame:
@@ -234,7 +253,8 @@ def shared_keys(rows: DataFrame, width: int, percent: int) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, text: str = "text", id_col: str = "doc_id", width: int = 4, percent: int = 85) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (the smallest doc_id reachable by links, its own included), row (a hash of id and text).
+    """Per row: doc_id, n_shingles, component_id (the smallest doc_id reachable by links, its own included), component (equal for linked rows, null
+    without shingles), row (a hash of id and text).
 
     Two rows link when their sets' Jaccard similarity is ``percent`` or more. Candidates are verified in three turns: every set of a key
     against the key's least set, then against its greatest, then all sets of one key that still are in different components; so a group of
@@ -242,7 +262,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", id_col: str = "doc_i
     shingles and stand alone under their own id; a null id is no smallest id unless its group has no other; repeated rows and ids are
     rows like others; other columns are not read; no rows give no rows.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")).withColumn("row", F.xxhash64(F.col("doc_id").cast("string"), "text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")).withColumn("row", row_hash("doc_id", "text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     base = stored(rows.mapInArrow(measured(width), f"doc_id {kind}, row long, n_shingles long, node long"), "sets")
     met = shared_keys(rows, width, percent)
@@ -266,9 +286,23 @@ def jaccard_components(docs: DataFrame, text: str = "text", id_col: str = "doc_i
         comps = stored(components(links), "components")
     placed = base.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = placed.filter("component is not null").groupBy("component").agg(F.min("doc_id").alias("least"))
-    return placed.join(least, "component", "left").select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"), "row")
+    return placed.join(least, "component", "left").select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"), "component", "row")
+
+
+def one_of_each(docs: DataFrame, text: str = "text", id_col: str = "doc_id", width: int = 5, percent: int = 80) -> DataFrame:
+    """All columns of docs; of every group of linked documents only that with the smallest id stays. Documents without a shingle stay.
+
+    Only rows that may belong to a group of two or more are shuffled. Rows that repeat id and text are one group and one of them stays.
+    """
+    found = stored(jaccard_components(docs, text, id_col, width, percent).filter("component is not null").select("doc_id", "component", "row"), "found")
+    groups = found.groupBy("component").agg(F.count("*").alias("n"), F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "row")).alias("x")).filter("n > 1")
+    touched = stored(found.join(groups.select("component", F.col("x.row").alias("first")), "component").select("row", (F.col("row") == F.col("first")).alias("stays")).distinct(), "touched")
+    rows = docs.select(F.struct("*").alias("doc"), row_hash(id_col, text).alias("row"))
+    near = maybe_named(rows, touched).join(touched, "row", "left")
+    stay = near.filter("stays is null").select("doc").unionByName(near.filter("stays").dropDuplicates(["row"]).select("doc"))
+    return maybe_named(rows, touched, wanted=False).select("doc").unionByName(stay).select("doc.*")
 
 
 @query("op10_partition_jaccard")
 def op10_partition_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(table(spark, sf_dir, "documents")).drop("row")
+    return jaccard_components(table(spark, sf_dir, "documents")).drop("component", "row")

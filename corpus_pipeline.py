@@ -2,11 +2,48 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from attestra.llm.bpe import decode, encode
 from attestra.llm.common import stored, table
+from attestra.llm.decontaminate import leaks
+from attestra.llm.jaccard import one_of_each
+from attestra.llm.pii import pseudonymised
+from attestra.llm.quality import classify, held_out
 
-STAGES: list = []
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier accepts; a quarter of the labels is held out from it."""
+    got = classify(docs, table(spark, sf_dir, "labels").filter(~held_out()))
+    return got.filter("predicted = 1").select(docs.columns)
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by five-word shingles at a similarity of 0.8."""
+    return one_of_each(docs, width=5, percent=80)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return leaks(docs, table(spark, sf_dir, "benchmark")).filter(F.size("leaks") == 0).drop("leaks")
+
+
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pseudonyms in place of personal values; n_chars follows the text."""
+    got = pseudonymised(docs, found=None)
+    return got.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids, and the text as the ids decode."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return decode(encode(docs, path), path, name="text").select("doc_id", "text", F.size("ids").cast("long").alias("n_tokens"), "ids")
+
+
+STAGES = [("quality classifier", good_quality), ("n-gram Jaccard join", without_near_copies), ("benchmark decontamination", without_benchmark), ("PII", without_personal_data),
+          ("BPE encoding and decoding", token_ids)]
 
 #: Trained weights and byte-pair codes are beyond SQL; tests hold every stage against a brute-force version.
 ORACLE_SQL = None
@@ -17,5 +54,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
-            docs = stored(docs, f"pipeline-{name}")
+            docs = stored(docs, f"pipeline-{i}")
     return docs
