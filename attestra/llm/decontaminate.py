@@ -106,7 +106,9 @@ class Index:
             return sums[kind]
 
         def matched(g: Group, difference: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            prints = np.packbits(difference > 0, axis=1)
+            return near(g, np.packbits(difference > 0, axis=1), places)
+
+        def near(g: Group, prints: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             value = prints.view("u2")
             hit = g.near[0][value[:, 0]]
             for block in range(1, BLOCKS):
@@ -117,7 +119,10 @@ class Index:
             return places[at[i]], g.items[k]
 
         for g in self.groups:
-            span = max(g.size - 1, 1)
+            if g.size == 1:  # a word by itself
+                yield near(g, mixed(w).view("u1").reshape(-1, 8), np.arange(len(w)))
+                continue
+            span = g.size - 1
             table_of, n = summed(span), len(bits) + 1 - span
             if n > 0:
                 grid = np.arange(0, n, g.step)
