@@ -30,22 +30,32 @@ def line_list(text: Column) -> Column:
     return F.filter(F.split(text, "\n", -1), lambda x: F.rlike(x, F.lit(r"[^ \t-\r]")))
 
 
+def bound(value: Column, fn) -> Column:
+    """fn of a value that is computed once: a lambda's own variable, so that inner lambdas do not compute it again for every element."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
+def repeated_words(words: Column) -> Column:
+    """Words in windows of ``WINDOW`` words found twice or more in the text, first included. Windows are compared by 64-bit hashes and
+    sorted with their places, so a text takes n log n steps; a text without a repeated window stops after the count of distinct ones."""
+    windows = bound(F.transform(words, lambda w: F.xxhash64(w)), lambda c: F.when(F.size(c) >= WINDOW, F.transform(
+        F.sequence(F.lit(1), F.size(c) - (WINDOW - 1)), lambda i: F.xxhash64(F.slice(c, i, WINDOW)))))
+    placed = lambda w: F.array_sort(F.transform(w, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    same = lambda s, k, h: F.get(s, k)["h"].eqNullSafe(h)
+    twice = lambda s: F.array_sort(F.transform(F.filter(s, lambda x, k: same(s, k - 1, x["h"]) | same(s, k + 1, x["h"])), lambda x: x["i"]))
+    covered = lambda t: F.aggregate(F.transform(t, lambda x, k: F.least(F.lit(WINDOW), F.coalesce(F.get(t, k + 1) - x, F.lit(WINDOW)))),
+                                    F.lit(0).cast("long"), lambda a, x: a + x)
+    count = bound(windows, lambda w: F.when(F.size(F.array_distinct(w)) < F.size(w), bound(placed(w), lambda s: bound(twice(s), covered))))
+    return F.coalesce(count, F.lit(0).cast("long"))
+
+
 def measures(docs: DataFrame) -> DataFrame:
-    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words of column body. Windows of words are compared by 64-bit hashes."""
-    n = F.size("_words")
-    out = docs.withColumn("_words", words_of(F.col("body"))).withColumn("_codes", F.transform("_words", lambda w: F.xxhash64(w)))
-    out = out.withColumn("_windows", F.when(n >= WINDOW, F.transform(F.sequence(F.lit(1), n - (WINDOW - 1)), lambda i: F.xxhash64(F.slice("_codes", i, WINDOW)))))
-    plain = F.col("_windows").isNull() | (F.size(F.array_distinct("_windows")) == F.size("_windows"))
-    out = out.withColumn("_sorted", F.when(~plain, F.array_sort(F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
-    same = lambda k, h: F.get("_sorted", k)["h"].eqNullSafe(h)
-    out = out.withColumn("_twice", F.array_sort(F.transform(F.filter("_sorted", lambda x, k: same(k - 1, x["h"]) | same(k + 1, x["h"])), lambda x: x["i"])))
-    covered = F.transform("_twice", lambda x, k: F.least(F.lit(WINDOW), F.coalesce(F.get("_twice", k + 1) - x, F.lit(WINDOW))))
-    lines = line_list(F.col("body"))
-    return out.withColumn("n_words", n.cast("long")).withColumn("word_chars", F.length(F.regexp_replace("body", GAP, "")).cast("long")).withColumn(
-        "n_symbols", (F.length("body") - F.length(F.translate("body", SYMBOLS, ""))).cast("long")).withColumn("_lines", lines).withColumn(
-        "n_dup_lines", (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long")).withColumn(
-        "n_repeat_words", F.coalesce(F.aggregate(covered, F.lit(0).cast("long"), lambda a, x: a + x), F.lit(0).cast("long"))).drop(
-        "_words", "_codes", "_windows", "_sorted", "_twice", "_lines")
+    """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words of column body."""
+    words, lines = words_of(F.col("body")), line_list(F.col("body"))
+    return docs.withColumns({
+        "n_words": F.size(words).cast("long"), "word_chars": F.length(F.regexp_replace("body", GAP, "")).cast("long"),
+        "n_symbols": (F.length("body") - F.length(F.translate("body", SYMBOLS, ""))).cast("long"),
+        "n_dup_lines": bound(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"), "n_repeat_words": repeated_words(words)})
 
 
 def frequent_lines(docs: DataFrame, limit: int) -> DataFrame:
