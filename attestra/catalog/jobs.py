@@ -220,9 +220,14 @@ def _(spark, d):
     return CI.context_window(claims(spark, d), chunk_table(spark, d), k=9).select("claim_id", "chunk_id")
 
 
-@query("context_sections")
-def _(spark, d):
-    return CI.context_sections(claims(spark, d), chunk_table(spark, d)).select("claim_id", F.length("context").alias("chars"), "parts")
+@query("context_sections", cte("claims") + f""", {CHUNKS}, p AS (SELECT c.claim_id, k.chunk_id, abs(k.chunk_id - c.chunk_id) <= 1 AS near, '[' || k.section_heading || ']' || chr(10) || k.text AS part,
+    lower(k.section_heading) AS h, c.claim_type AS t FROM claims c JOIN chunks k USING (doc_name)),
+  q AS (SELECT *, sum(length(part)) OVER (PARTITION BY claim_id, near ORDER BY chunk_id) - length(part) AS used FROM p WHERE near OR CASE t WHEN 'Fact' THEN regexp_matches(h, 'result|finding|data|efficacy')
+    WHEN 'Assertion' THEN regexp_matches(h, 'result|discussion|conclusion') WHEN 'Roadmap' THEN regexp_matches(h, 'discussion|conclusion') ELSE regexp_matches(h, 'method|result|conclusion') END),
+  j AS (SELECT claim_id, string_agg(substr(part, 1, (3000 - used)::INT), chr(10) || chr(10) ORDER BY NOT near, chunk_id) AS context FROM q WHERE used < 3000 GROUP BY claim_id)
+  SELECT claim_id, sha256(regexp_replace(context, '\\s+$', '')) AS context FROM j""")
+def _(spark, d):
+    return CI.context_sections(claims(spark, d), chunk_table(spark, d)).select("claim_id", F.sha2("context", 256).alias("context"))
 
 
 @query("rebuild_abstract", "SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS abstract FROM documents WHERE trim(text) <> ''")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from attestra import config as C
 from attestra.catalog.claims import members
-from attestra.catalog.compounds import material
+from attestra.catalog.compounds import KEY, MAT, material
 from attestra.catalog.jobs import docs
 from attestra.catalog.registry import query
 from attestra.catalog.texts import LINK_CTE, links
@@ -168,9 +168,9 @@ def _(spark, d):
     return docs(spark, d).select("doc_id", show("article").alias("article"), show("dao").alias("dao"))
 
 
-@query("with_field_after", """SELECT doc_id, '{"research_name":"' || source || '","review_date":"d","evidence_audit":"tx' || doc_id || '","composite_score":' || (doc_id % 100) || ',"tags":["a"]}' AS document FROM documents""")
+@query("with_field_after", """SELECT doc_id, '{"research_name":"' || doc_id || '","review_date":"[d]","evidence_audit":"tx' || doc_id || '","source":"' || source || '","composite_score":' || (doc_id % 100) || ',"tags":["a"]}' AS document FROM documents""")
 def _(spark, d):
-    doc = F.to_json(F.struct(F.col("source").alias("research_name"), F.lit("d").alias("review_date"), (F.col("doc_id") % 100).alias("composite_score"), F.array(F.lit("a")).alias("tags"), F.lit("old").alias("evidence_audit")))
+    doc = F.to_json(F.struct(F.col("doc_id").cast("string").alias("research_name"), F.lit("[d]").alias("review_date"), "source", (F.col("doc_id") % 100).alias("composite_score"), F.array(F.lit("a")).alias("tags"), F.lit("old").alias("evidence_audit")))
     return docs(spark, d).withColumn("_doc", doc).select("doc_id", L.with_field_after("_doc", "evidence_audit", F.concat(F.lit("tx"), F.col("doc_id").cast("string"))).alias("document"))
 
 
@@ -273,7 +273,7 @@ def _(spark, d):
 
 
 # --- T: batch twins -----------------------------------------------------------------------------------
-_STAT = "CASE WHEN contains(line, 'Step 1 - Crawl') THEN 'crawling' WHEN contains(line, 'Step 2 -') OR contains(line, 'Step 3 -') THEN 'reviewing' END"
+_STAT = "CASE WHEN contains(line, 'Step 1 — Crawl') THEN 'crawling' WHEN contains(line, 'Step 2 —') OR contains(line, 'Step 3 —') THEN 'reviewing' END"
 _CHG = f"s AS (SELECT run_id, ts, event_id, {_STAT} AS status FROM run_log WHERE {_STAT} IS NOT NULL), c AS (SELECT * FROM (SELECT *, lag(status) OVER (PARTITION BY run_id ORDER BY ts, event_id) AS p FROM s) WHERE p IS NULL OR p <> status)"
 
 
@@ -287,7 +287,12 @@ def _(spark, d):
     return ST.current_status(ST.status_changes(view(spark, d, "run_log"))).select("run_id", "status", F.col("started_at").isNotNull().alias("seen"))
 
 
-@query("discover_round")
+@query("discover_round", MAT + f""", k AS (SELECT doc_id, compound, source_type, {KEY} AS material_key FROM material), o AS (SELECT * FROM k WHERE doc_id % 3 = 0),
+  f AS (SELECT * FROM k WHERE doc_id % 3 <> 0 AND NOT EXISTS (SELECT 1 FROM o WHERE o.compound = k.compound AND o.material_key = k.material_key)),
+  u AS (SELECT * FROM f QUALIFY material_key IS NULL OR row_number() OVER (PARTITION BY compound, material_key ORDER BY doc_id) = 1),
+  h AS (SELECT compound, source_type, count(*) AS have FROM o GROUP BY ALL),
+  r AS (SELECT u.*, coalesce(have, 0) AS have, row_number() OVER (PARTITION BY compound, source_type ORDER BY doc_id) AS rn FROM u LEFT JOIN h USING (compound, source_type))
+  SELECT doc_id, material_key FROM r WHERE rn <= CASE source_type WHEN 'europe_pmc' THEN least(2, 9 - have) ELSE least(20, 200 - have) END""")
 def _(spark, d):
     m = material(spark, d).withColumn("material_key", M.material_key())
     return ST.discover_round(m.filter("doc_id % 3 <> 0"), m.filter("doc_id % 3 = 0"), ["compound"], "source_type", "material_key", ["doc_id"], {"europe_pmc": (2, 9)}).select("doc_id", "material_key")

@@ -45,7 +45,7 @@ _WORKS = """SELECT vec_id AS work_id, vec_id % 50 AS doc_id, concat('term', CAST
   FROM {embeddings}"""
 
 _RUN_LOG = """SELECT event_id, ts, CAST(user_id AS VARCHAR(12)) AS run_id,
-  CASE event_type WHEN 'signup' THEN 'Step 1 - Crawl' WHEN 'view' THEN 'Step 2 - review' WHEN 'click' THEN 'Step 3 - review' WHEN 'purchase' THEN 'done' ELSE 'noise line' END AS line
+  CASE event_type WHEN 'signup' THEN 'Step 1 — Crawl' WHEN 'view' THEN 'Step 2 — review' WHEN 'click' THEN 'Step 3 — review' WHEN 'purchase' THEN 'done' ELSE 'noise line' END AS line
   FROM {events}"""
 
 _SQL = {

@@ -4,19 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from attestra.functions.columns import as_col, contains_any, text_of
-from attestra.functions.text import citation_numbers, doi_key, normalize
-from attestra.operators.ranking import concat_budget, first_rows
+from attestra.functions.text import citation_numbers, doi_key, normalize, strip_space
+from attestra.operators.ranking import concat_budget, first_rows, running
 
-# Heading hints per claim type for the second context layer.
+# Heading hints per claim type for the second context layer, those of any other type, and what stands where there is no text.
 CONTEXT_HINTS = {
-    "Fact": ("result", "finding", "outcome", "data", "method"),
-    "Assertion": ("discussion", "conclusion", "analysis", "rationale"),
-    "Roadmap": ("timeline", "milestone", "plan", "future", "budget"),
+    "Fact": ("result", "finding", "data", "efficacy"),
+    "Assertion": ("result", "discussion", "conclusion"),
+    "Roadmap": ("discussion", "conclusion"),
 }
+OTHER_HINTS = ("method", "result", "conclusion")
+NO_CONTEXT = "No key sections available for this document."
 
 
 def attach_chunk(claims: DataFrame, chunks: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -95,23 +97,38 @@ def context_window(claims: DataFrame, chunks: DataFrame, doc: str = "doc_name",
     return near.join(chunks.withColumnRenamed("chunk_id", "_near"), [doc, "_near"]).withColumnRenamed("_near", "chunk_id")
 
 
-def context_sections(claims: DataFrame, chunks: DataFrame, k: int = 1, budget: int = 3000, hints: Mapping[str, Sequence[str]] = CONTEXT_HINTS, doc: str = "doc_name",
-                     source: str = "chunk_id", heading: str = "section_heading", text: str = "text", claim_id: str = "claim_id", claim_type: str = "claim_type") -> DataFrame:
-    """Texts of other chunks whose heading hints at the claim type, joined under a character budget, near chunks left out.
+def _cut_parts(parts: DataFrame, budget: int) -> DataFrame:
+    """Parts in chunk order while the characters before them are below the budget; the last is cut to what is left. Joined by blank lines."""
+    w = Window.partitionBy("_claim").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(F.length("_piece")).over(w), F.lit(0))
+    kept = parts.withColumn("_before", before).filter(F.col("_before") < budget).withColumn("_piece", F.substring("_piece", F.lit(1), (F.lit(budget) - F.col("_before")).cast("int")))
+    return kept.groupBy("_claim").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_chunk", "_piece"))), lambda x: x["_piece"]), "\n\n").alias("_text"))
 
-    The budget bounds the rows per claim type and document, so claims meet a short list and never all chunks.
+
+def context_sections(claims: DataFrame, chunks: DataFrame, k: int = 1, budget: int = 6000, hints: Mapping[str, Sequence[str]] = CONTEXT_HINTS, other: Sequence[str] = OTHER_HINTS,
+                     doc: str = "doc_name", source: str = "chunk_id", heading: str = "section_heading", text: str = "text", claim_id: str = "claim_id", claim_type: str = "claim_type") -> DataFrame:
+    """Context of every claim, one row each: its own chunk and k neighbours in half of the budget, then other chunks whose heading hints at the claim's type in the rest.
+
+    Types without hints of their own take ``other``. The budget bounds the rows per document and type before claims meet them, so a claim
+    meets a short list and never all chunks: a near chunk takes at most one budget off the sum, so rows past 2k+2 budgets are out of reach.
     """
-    tests = {t: contains_any(F.lower(F.col(heading)), words) for t, words in hints.items()}
-    typed = chunks.filter(F.length(text) > 0).withColumn("_type", F.explode(F.array_compact(F.array(*[F.when(c, F.lit(t)) for t, c in tests.items()]))))
-    short = first_rows(typed, [doc, "_type"], ["chunk_id"], budget // 3 + 2 * k + 2).select(doc, "_type", F.col("chunk_id").alias("_chunk"), F.col(text).alias("_text"))
-    # Chunks that could ever matter: the budget's worth plus the near ones a claim leaves out.
-    from attestra.operators.ranking import running
-    # A near chunk takes at most one budget off the sum, so rows past 2k+2 budgets can never be reached.
-    size = F.least(F.length("_text"), F.lit(budget)).cast("long")
-    sized = running(short.withColumn("_k", F.xxhash64(doc, "_type")), ["_k"], "_chunk", size, "_sum")
-    bounded = sized.filter(F.col("_sum") - size < budget * (2 * k + 2))
-    joined = claims.select(claim_id, doc, F.col(claim_type).alias("_type"), F.col(source).alias("_src")).join(bounded, [doc, "_type"]).filter(F.abs(F.col("_chunk") - F.col("_src")) > k)
-    return concat_budget(joined, [claim_id], ["_chunk"], "_text", budget, name="context")
+    half = budget // 2
+    rest = budget - half
+    part = F.concat(F.lit("["), F.coalesce(F.col(heading), F.lit("Unknown")), F.lit("]\n"), F.coalesce(F.col(text), F.lit("")))
+    kind = F.when(F.col(claim_type).isin(*hints), F.col(claim_type)).otherwise(F.lit(""))
+    own = claims.select(F.col(claim_id).alias("_claim"), F.col(doc).alias("_doc"), F.col(source).alias("_src"), kind.alias("_type"))
+    parts = chunks.select(F.col(doc).alias("_doc"), F.col("chunk_id").alias("_chunk"), F.lower(F.coalesce(F.col(heading), F.lit(""))).alias("_head"), part.alias("_piece"))
+    near = own.select("_claim", "_doc", F.explode(F.sequence(F.col("_src") - k, F.col("_src") + k)).alias("_chunk")).join(parts.drop("_head"), ["_doc", "_chunk"])
+    tests = {t: contains_any(F.col("_head"), words) for t, words in {**hints, "": other}.items()}
+    typed = parts.withColumn("_type", F.explode(F.array_compact(F.array(*[F.when(c, F.lit(t)) for t, c in tests.items()]))))
+    short = first_rows(typed, ["_doc", "_type"], ["_chunk"], rest // 3 + 2 * k + 2).select("_doc", "_type", "_chunk", "_piece")  # a part has three characters at least
+    size = F.least(F.length("_piece"), F.lit(rest)).cast("long")
+    reach = running(short, ["_doc", "_type"], "_chunk", size, "_sum").filter(F.col("_sum") - size < rest * (2 * k + 2))
+    far = own.join(reach, ["_doc", "_type"]).filter(F.abs(F.col("_chunk") - F.col("_src")) > k).select("_claim", "_chunk", "_piece")
+    a, b = _cut_parts(near.select("_claim", "_chunk", "_piece"), half).withColumnRenamed("_text", "_a"), _cut_parts(far, rest).withColumnRenamed("_text", "_b")
+    joined = own.select("_claim").join(a, "_claim", "left").join(b, "_claim", "left")
+    whole = strip_space(F.concat_ws("\n\n", F.nullif("_a", F.lit("")), F.nullif("_b", F.lit(""))))
+    return joined.select(F.col("_claim").alias(claim_id), F.when(whole == "", NO_CONTEXT).otherwise(whole).alias("context"))
 
 
 def rebuild_abstract(inverted) -> Column:

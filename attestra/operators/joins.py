@@ -74,9 +74,9 @@ def attach_line_meta(lines: DataFrame, meta: DataFrame, key: str = "line_id") ->
     return lines.join(m, key, "left").withColumns({"cluster_id": F.coalesce("cluster_id", F.lit(1)), "cluster_size": F.coalesce("cluster_size", F.lit(1))})
 
 
-def append_new(df: DataFrame, stored: DataFrame, key: str) -> DataFrame:
-    """Rows whose key the stored table lacks; rows without a key all count as new."""
-    return df.join(stored.select(key).filter(as_col(key).isNotNull()), key, "left_anti")
+def append_new(df: DataFrame, stored: DataFrame, key: str, by: Sequence[str] = ()) -> DataFrame:
+    """Rows whose key the stored table lacks, within their group; rows without a key all count as new."""
+    return df.join(stored.select(*by, key).filter(as_col(key).isNotNull()), [*by, key], "left_anti")
 
 
 def resolve_ledger_key(reviews: DataFrame, profiles: DataFrame, papers: DataFrame) -> DataFrame:

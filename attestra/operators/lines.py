@@ -202,10 +202,7 @@ def with_field_after(document, name: str, value, anchors: Sequence[str] = ("revi
     anchor = F.coalesce(*[F.when(F.array_contains(keys, a), F.lit(a)) for a in anchors], F.try_element_at(keys, F.lit(1)))
     at = F.coalesce(F.array_position(keys, anchor), F.lit(0)).cast("int")
     order = F.concat(F.slice(keys, F.lit(1), at), F.array(F.lit(name)), F.slice(keys, at + 1, F.size(keys)))
-    members = F.from_json(doc, "map<string,string>")
-    as_text = lambda s: F.regexp_replace(F.to_json(F.array(s)), r"^\[|\]$", "")
-    # A string member is quoted again; any other member is JSON text already.
-    body = F.transform(order, lambda k: F.concat(as_text(k), F.lit(":"), F.when(k == name, as_text(as_col(value))).otherwise(
-        F.when(F.try_element_at(members, k).rlike(r"(?s)^(\{.*\}|\[.*\]|-?\d+(\.\d+)?([eE][+-]?\d+)?|true|false)$"),
-               F.try_element_at(members, k)).otherwise(F.coalesce(as_text(F.try_element_at(members, k)), F.lit("null"))))))
+    members = F.from_json(doc, "map<string,variant>")  # a variant keeps whether a member was a string, a number or a list
+    quoted = lambda s: F.regexp_replace(F.to_json(F.array(s)), r"^\[|\]$", "")
+    body = F.transform(order, lambda k: F.concat(quoted(k), F.lit(":"), F.when(k == name, quoted(as_col(value))).otherwise(F.coalesce(F.to_json(F.try_element_at(members, k)), F.lit("null")))))
     return F.concat(F.lit("{"), F.array_join(body, ","), F.lit("}"))

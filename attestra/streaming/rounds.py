@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
@@ -15,7 +16,10 @@ from attestra.operators.joins import append_new
 from attestra.operators.ranking import cap_rounds, first_rows
 
 # Log markers and what they say about a run.
-STATUS_MARKERS = (("Step 1 - Crawl", "crawling"), ("Step 2 -", "reviewing"), ("Step 3 -", "reviewing"), ("Step 4 -", "reviewing"), ("Step 5 -", "reviewing"), ("Step 6 -", "reviewing"))
+STATUS_MARKERS = (
+    ("Step 1 — Crawl", "crawling"), ("Step 2 —", "reviewing"), ("Step 3 —", "reviewing"),
+    ("Step 4 —", "reviewing"), ("Step 5 —", "reviewing"), ("Step 6 —", "reviewing"),
+)
 SOURCE_CAPS = {  # source -> (rows per round, rows in total)
     "europe_pmc": (20, 200), "openalex_grounding": (4, 24), "openalex_risk": (4, 24), "clinical_trials": (30, 100), "chembl_mechanism": (10, 20),
     "chembl_activity": (15, 50), "pubchem_bioassay": (2, 8), "openfda_drug_label": (5, 30), "openfda_faers": (1, 1), "kegg_pathway": (10, 40),
@@ -23,48 +27,64 @@ SOURCE_CAPS = {  # source -> (rows per round, rows in total)
 
 
 def discover_round(new: DataFrame, stored: DataFrame, by: Sequence[str], source: str, key: str, order: Sequence, caps: Mapping[str, tuple[int, int]] = SOURCE_CAPS) -> DataFrame:
-    """One batch round: keys seen before drop out, first of a key stays, then the per-source caps."""
-    fresh = append_new(new, stored, key)
+    """One batch round: keys stored for the item drop out, the first row of a key stays, then the per-source caps."""
+    fresh = append_new(new, stored, key, by)
     once = first_rows(fresh.filter(F.col(key).isNotNull()), [*by, key], order).unionByName(fresh.filter(F.col(key).isNull()))
     return cap_rounds(once, stored, {k: b for k, (b, _) in caps.items()}, {k: t for k, (_, t) in caps.items()}, by, source, order)
 
 
 class _Discover(StatefulProcessor):
-    """Seen keys and row counts of one (item, source); keys live in a map state, so no call loads them all."""
+    """Seen keys of one item and its row counts by source; keys live in a map state, so no call loads them all."""
 
-    def __init__(self, caps: Mapping[str, tuple[int, int]], default: tuple[int, int], stored: str | None = None):
-        self.caps, self.default = dict(caps), default
+    def __init__(self, source: str, key: str, caps: Mapping[str, tuple[int, int]], default: tuple[int, int]):
+        self.source, self.key, self.caps, self.default = source, key, dict(caps), default
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getMapState("seen", StructType([StructField("key", StringType())]), StructType([StructField("n", IntegerType())]))
-        self.count = handle.getValueState("count", StructType([StructField("n", IntegerType())]))
+        one = lambda n: StructType([StructField(n, StringType())])
+        self.seen = handle.getMapState("seen", one("key"), StructType([StructField("n", IntegerType())]))
+        self.counts = handle.getMapState("counts", one("source"), StructType([StructField("n", IntegerType())]))
+
+    def _have(self, source) -> int:
+        return self.counts.getValue((source,))[0] if self.counts.containsKey((source,)) else 0
+
+    def _store(self, key, source, have: int) -> None:
+        if key is not None:
+            self.seen.updateValue((key,), (1,))
+        self.counts.updateValue((source,), (have + 1,))
+
+    def handleInitialState(self, key, initial: pd.DataFrame, timer_values) -> None:
+        for k, s in zip(initial[self.key], initial[self.source], strict=True):
+            s = "" if s is None else s
+            self._store(k, s, self._have(s))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
-        batch, total = self.caps.get(key[1], self.default)
-        have = self.count.get()[0] if self.count.exists() else 0
-        taken = 0
+        taken: Counter = Counter()
+        met: set = set()  # a key's first row of the round counts, whether the cap lets it in or not
         for pdf in rows:
             keep = []
-            for i, k in enumerate(pdf["material_key"]):
-                if taken >= batch or have >= total:
-                    break
-                if k is not None and self.seen.containsKey((k,)):
+            for i, (k, s) in enumerate(zip(pdf[self.key], pdf[self.source], strict=True)):
+                s = "" if s is None else s
+                if k is not None and (k in met or self.seen.containsKey((k,))):
                     continue
-                if k is not None:
-                    self.seen.updateValue((k,), (1,))
-                keep.append(i)
-                taken, have = taken + 1, have + 1
+                met.add(k)
+                batch, total = self.caps.get(s, self.default)
+                have = self._have(s)
+                if taken[s] < batch and have < total:
+                    self._store(k, s, have)
+                    taken[s] += 1
+                    keep.append(i)
             if keep:
                 yield pdf.iloc[keep]
-        self.count.update((have,))
 
     def close(self) -> None:
         pass
 
 
-def discover_stream(rows: DataFrame, item: str, source: str, caps: Mapping[str, tuple[int, int]] = SOURCE_CAPS, default: tuple[int, int] = (20, 200)) -> DataFrame:
-    """Streaming rounds: one micro-batch is one round. Needs the RocksDB state store."""
-    return rows.groupBy(item, source).transformWithStateInPandas(_Discover(caps, default), rows.schema, "Append", "None")
+def discover_stream(rows: DataFrame, item: str, source: str, key: str = "material_key", caps: Mapping[str, tuple[int, int]] = SOURCE_CAPS, default: tuple[int, int] = (20, 200),
+                    stored: DataFrame | None = None) -> DataFrame:
+    """Streaming rounds: one micro-batch is one round, seeded from the stored rows. Needs the RocksDB state store."""
+    seed = None if stored is None else stored.select(item, source, key).groupBy(item)
+    return rows.groupBy(item).transformWithStateInPandas(_Discover(source, key, caps, default), rows.schema, "Append", "None", initialState=seed)
 
 
 def round_meta(rows: DataFrame, round_col: str, by: Sequence[str], source: str, caps: Mapping[str, tuple[int, int]] = SOURCE_CAPS, default: int = 20) -> DataFrame:
