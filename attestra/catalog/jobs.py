@@ -263,7 +263,7 @@ def _(spark, d):
   s AS (SELECT *, sum(cost) OVER (PARTITION BY doc_id ORDER BY rank) AS running_cost FROM r) SELECT doc_id, work_id, rank, running_cost FROM s WHERE rank = 1 OR running_cost <= 700""")
 def _(spark, d):
     w = view(spark, d, "works").withColumn("cost", F.col("work_id") % 50 + 100)
-    return K.top_under_budget(w, ["doc_id"], [F.desc("similarity"), "work_id"], "cost", 700, 100).select("doc_id", "work_id", "rank", "running_cost")
+    return K.top_under_budget(w, ["doc_id"], [F.desc("similarity"), "work_id"], "cost", 700).select("doc_id", "work_id", "rank", "running_cost")
 
 
 @query("top_k", cte("lines") + ", r AS (SELECT line_id, category, row_number() OVER (PARTITION BY category ORDER BY verdict, line_id) AS rank, count(*) OVER (PARTITION BY category) AS n FROM lines) SELECT line_id, category, rank, greatest(n - 60, 0) AS omitted FROM r WHERE rank <= 60")

@@ -388,7 +388,7 @@ def _(spark, d):
 @query("fit_audit")
 def _(spark, d):
     inputs = _audit_inputs(spark, d)
-    return RP.fit_audit(lambda x: RP.article_audit("paper", *inputs, x), "paper", 6000, RP.tightening(4)).select("paper", "step", F.octet_length("text").alias("bytes"))
+    return RP.fit_audit(lambda x: RP.article_audit("paper", *inputs, x), "paper").select("paper", "step", F.octet_length("text").alias("bytes"))
 
 
 @query("dao_audit")

@@ -148,15 +148,14 @@ def _(spark, d):
 _MDL = "concat('Copy \n[Next](http://a)\n', text, '\n* [x](http://b.c/d)\n- item\nLast updated 3 days ago\n![i](http://c)')"
 
 
-@query("strip_boilerplate", "SELECT doc_id, trim(text || '\n* [x](http://b.c/d)\n- item\n![i](http://c)', ' \n\t\r') AS kept FROM documents WHERE NOT regexp_matches(text, '(?im)^\\s*(copy\\s*$|last updated |on this page)')")
+@query("strip_boilerplate", "SELECT doc_id, trim(text || '\n* [x](http://b.c/d)\n- item\n![i](http://c)', ' \n\t\r') AS kept FROM documents")
 def _(spark, d):
-    return docs(spark, d).filter(~F.col("text").rlike(r"(?im)^\s*(copy\s*$|last updated |on this page)")).select("doc_id", U.strip_boilerplate(F.expr(_MDL)).alias("kept"))
+    return docs(spark, d).select("doc_id", U.strip_boilerplate(F.expr(_MDL)).alias("kept"))
 
 
-@query("nav_share", "WITH x AS (SELECT doc_id, list_filter(string_split(text, '\n'), lambda v: trim(v, ' \t\r') <> '') AS lines FROM documents) SELECT doc_id, len(lines) = 0 OR 2 / CAST(len(lines) + 2 AS DOUBLE) >= 0.55 AS nav FROM x WHERE NOT regexp_matches(array_to_string(lines, '\n'), '(?m)^\\s*[-*\\[]')")
+@query("nav_share", "WITH x AS (SELECT doc_id, list_filter(string_split(text, '\n'), lambda v: trim(v, ' \t\r') <> '') AS lines FROM documents) SELECT doc_id, len(lines) = 0 OR 2 / CAST(len(lines) + 2 AS DOUBLE) >= 0.55 AS nav FROM x")
 def _(spark, d):
-    t = docs(spark, d).filter(~F.col("text").rlike(r"(?m)^\s*[-*\[]"))
-    return t.select("doc_id", U.is_nav(F.when(F.trim("text") == "", F.lit("")).otherwise(F.concat("text", F.lit("\n* a\n[b](http://c)")))).alias("nav"))
+    return docs(spark, d).select("doc_id", U.is_nav(F.when(F.trim("text") == "", F.lit("")).otherwise(F.concat("text", F.lit("\n* a\n[b](http://c)")))).alias("nav"))
 
 
 @query("meaningful_length", "SELECT doc_id, length(trim(regexp_replace(regexp_replace(text, '[#>*_`~|\\[\\]\\\\-]', ' ', 'g'), '\\s+', ' ', 'g'))) AS n FROM documents")
@@ -253,8 +252,7 @@ def _(spark, d):
 @query("clean_answer", "SELECT doc_id, 'sum ' || lang AS answer FROM documents")
 def _(spark, d):
     a = F.expr("""CASE doc_id % 4 WHEN 0 THEN concat('<think>', text, '</think> sum ', lang) WHEN 1 THEN concat('sum ', lang, ' <think>', text) WHEN 2 THEN concat(text, '```json\n sum ', lang, ' \n```') ELSE concat('<reasoning>', text, '</reasoning>sum ', lang) END""")
-    return docs(spark, d).filter(~F.col("text").contains("```")).select("doc_id", A.clean_answer(a).alias("answer")).unionByName(
-        docs(spark, d).filter(F.col("text").contains("```")).select("doc_id", F.concat(F.lit("sum "), "lang").alias("answer")))
+    return docs(spark, d).select("doc_id", A.clean_answer(a).alias("answer"))
 
 
 @query("recover_json", "SELECT doc_id, lang AS lang, doc_id % 9 AS n FROM documents")

@@ -65,10 +65,6 @@ class BucketRule:
     only_tag: str | None = None
 
 
-_MEASURED = ("Causal", "Correlational", "Comparative", "Mechanistic", "Performance")
-_REPORTED = _MEASURED + ("Benchmark", "Measurement", "Observational", "NullFinding", "Replication")
-_OBSERVED = _MEASURED + ("Observational",)
-_FORWARD = ("Hypothesis", "NoveltyAssertion", "FutureWork", "Roadmap", "Feasibility", "ImpactPotential")
 _BOTH = ("Fact", "Assertion")
 
 
@@ -90,11 +86,11 @@ ROUTES = {
     "empirical": Route(
         "empirical",
         (
-            BucketRule("empirical", ("Fact",), _REPORTED),
-            BucketRule("empirical", ("Assertion",), _OBSERVED),
+            BucketRule("empirical", ("Fact",), ("Causal", "Correlational", "Comparative", "Mechanistic", "Performance", "Benchmark", "Measurement", "Observational", "NullFinding", "Replication")),
+            BucketRule("empirical", ("Assertion",), ("Causal", "Correlational", "Comparative", "Mechanistic", "Performance", "Observational")),
             *_METHOD_RULES,
             BucketRule("aspirational", ("Roadmap",)),
-            BucketRule("aspirational", _BOTH, _FORWARD + ("GapStatement",)),
+            BucketRule("aspirational", _BOTH, ("Hypothesis", "NoveltyAssertion", "FutureWork", "Roadmap", "Feasibility", "ImpactPotential", "GapStatement")),
             BucketRule("contextual", _BOTH, ("Definitional", "Background", "Synthesis", "SourceAttribution")),
             BucketRule("contextual", ("Assertion",), ("Interpretive", "Prescriptive", "Hedge")),
         ),
@@ -107,13 +103,13 @@ ROUTES = {
     "protocol": Route(
         "protocol",
         (
-            BucketRule("design_specification", ("Fact",), _REPORTED),
-            BucketRule("design_specification", ("Assertion",), _OBSERVED),
+            BucketRule("design_specification", ("Fact",), ("Causal", "Correlational", "Comparative", "Mechanistic", "Performance", "Benchmark", "Measurement", "Observational", "NullFinding", "Replication")),
+            BucketRule("design_specification", ("Assertion",), ("Causal", "Correlational", "Comparative", "Mechanistic", "Performance", "Observational")),
             *_METHOD_RULES,
             BucketRule("background_rationale", ("Roadmap",), ("GapStatement",)),
             BucketRule("background_rationale", _BOTH, ("Background", "Synthesis", "SourceAttribution")),
             BucketRule("aspirational", ("Roadmap",)),
-            BucketRule("aspirational", _BOTH, _FORWARD),
+            BucketRule("aspirational", _BOTH, ("Hypothesis", "NoveltyAssertion", "FutureWork", "Roadmap", "Feasibility", "ImpactPotential")),
             BucketRule("contextual", _BOTH, ("Definitional",)),
             BucketRule("contextual", ("Assertion",), ("Interpretive", "Prescriptive", "Hedge")),
         ),
@@ -123,11 +119,11 @@ ROUTES = {
     "theoretical": Route(
         "theoretical",
         (
-            BucketRule("thesis_argument", _BOTH, _OBSERVED + ("Interpretive",)),
+            BucketRule("thesis_argument", _BOTH, ("Causal", "Correlational", "Comparative", "Mechanistic", "Performance", "Observational", "Interpretive")),
             BucketRule("synthesis", _BOTH, ("Background", "Synthesis", "SourceAttribution")),
             *_METHOD_RULES,
             BucketRule("aspirational", ("Roadmap",)),
-            BucketRule("aspirational", _BOTH, _FORWARD + ("GapStatement",)),
+            BucketRule("aspirational", _BOTH, ("Hypothesis", "NoveltyAssertion", "FutureWork", "Roadmap", "Feasibility", "ImpactPotential", "GapStatement")),
             BucketRule("contextual", _BOTH, ("Definitional",)),
             BucketRule("contextual", ("Assertion",), ("Prescriptive", "Hedge")),
         ),

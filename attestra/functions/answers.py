@@ -30,54 +30,45 @@ def clean_answer(answer, after_last_mark: bool = False) -> Column:
     return t
 
 
-def _balanced(text: str, opener: str, closer: str) -> tuple[str | None, list[int]]:
-    """First balanced span, string-aware; else None and the ends of complete inner objects."""
-    start = text.find(opener)
-    if start < 0:
-        return None, []
-    depth, quoted, escaped, ends = 0, False, False, []
-    for pos in range(start, len(text)):
-        ch = text[pos]
-        if quoted:
-            if escaped:
-                escaped = False
-            elif ch == "\\":
-                escaped = True
-            elif ch == '"':
-                quoted = False
-        elif ch == '"':
-            quoted = True
-        elif ch in "{[":
-            depth += 1
-        elif ch in "}]":
-            depth -= 1
-            if depth == 0:
-                return text[start:pos + 1], ends
-            if depth == 1 and ch == "}":
-                ends.append(pos)
-    return None, ends
-
-
-def _loads(text, kind):
+_DECODER = json.JSONDecoder()
+
+
+def _value_at(text: str, at: int):
+    """The JSON value that begins at a place and where it ends; None and the place itself where none does."""
     try:
-        value = json.loads(text)
-    except (ValueError, TypeError):
-        return None
-    return value if isinstance(value, kind) else None
+        return _DECODER.raw_decode(text, at)
+    except ValueError:
+        return None, at
+
+
+def _whole_members(text: str, at: int) -> list:
+    """Members of a cut-off list up to its last whole object."""
+    members, end = [], at
+    while end < len(text):
+        at = end
+        while at < len(text) and text[at] in " \t\r\n,":
+            at += 1
+        value, end = _value_at(text, at)
+        if end == at:
+            break
+        members.append(value)
+    last = max((i for i, m in enumerate(members) if isinstance(m, dict)), default=-1)
+    return members[:last + 1]
 
 
 def _recover(text: str, want_array: bool) -> str | None:
+    """The whole answer, else the value at the first opener, else what stands between the first opener and the last closer, else a cut-off list."""
     kind, opener, closer = (list, "[", "]") if want_array else (dict, "{", "}")
-    value = _loads(text, kind)
-    if value is None:
-        span, ends = _balanced(text, opener, closer)
-        value = _loads(span, kind) if span else None
-        first, last = text.find(opener), text.rfind(closer)
-        if value is None and 0 <= first < last:
-            value = _loads(text[first:last + 1], kind)
-        if value is None and want_array and first >= 0 and ends:  # cut-off array: close it after its last whole object
-            value = _loads(text[first:ends[-1] + 1] + "]", kind)
-    return None if value is None else json.dumps(value, ensure_ascii=False)
+    first, last = text.find(opener), text.rfind(closer)
+    for start, end in ((0, len(text)), (first, None), (first, last + 1)):
+        if start < 0 or end == 0:
+            continue
+        part = text[start:end].strip()
+        value, stop = _value_at(part, 0)
+        if isinstance(value, kind) and (end is None or stop == len(part)):
+            return json.dumps(value, ensure_ascii=False)
+    members = _whole_members(text, first + 1) if want_array and first >= 0 else []
+    return json.dumps(members, ensure_ascii=False) if members else None
 
 
 def recover_json(answer, kind: str = "object") -> Column:
@@ -105,8 +96,3 @@ def parse_bullets(answer) -> Column:
     lines = F.transform(F.filter(split_lines(t), lambda x: strip_space(x) != ""), lambda x: strip_space(F.ltrim(x, F.lit("- "))))
     none = F.array(F.lit("No summary produced for this topic group."))
     return F.when(F.size(listed) > 0, listed).when(F.size(lines) > 0, lines).otherwise(none)
-
-
-def quoted_strings(answer) -> Column:
-    """All quoted strings of an answer, the last resort for a broken list."""
-    return F.regexp_extract_all(as_col(answer), F.lit(r'"((?:[^"\\]|\\.)*)"'), 1)

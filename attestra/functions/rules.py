@@ -27,15 +27,13 @@ RISK_PRIORITY = {
 IGNORED_KEYS = ("api_versions", "failures", "meta", "query", "query_names", "source_queries", "search_term", "search_terms")
 
 # ---- fixed values: word patterns (whole words, any case) ------------------------------------------
-_TREAT = "combined with|combination|co-?treatment|co-?administered|co-?administration"
-_CHEMO = "chemotherapy|radiotherapy|cisplatin|CDDP|doxorubicin|platinum"
 PATTERNS = {
     "direct": r"\b(lifespan|life span|longevity|healthspan|health span|anti[- ]?aging|antiaging|chronological aging|replicative aging|age[- ]related decline)\b",
     "indirect": r"\b(senescence|sasp|autophagy|mitochondri|mTOR|AMPK|sirtuin|SIRT\d*|NAD\+?|inflammaging|oxidative stress|reactive oxygen species|proteostasis|telomere|insulin/IGF|IGF-?1|stem cell|immune aging)\b",
     "aging_context": r"\b(lifespan|life span|longevity|healthspan|health span|anti[- ]?aging|antiaging|chronological aging|replicative aging|age[- ]related|cellular senescence|frailty|geriatric|healthspan extension|lifespan extension)\b",
     "oncology": r"\b(cancer|carcinoma|tumor|tumour|oncolog|neoplasm|malignan|cytotoxic|antitumor|anti-tumor|chemotherapy|radiotherapy|xenograft|cell lines?|hepatoma|melanoma|glioma|leukemia|NSCLC|breast cancer|colorectal)\b",
     "interaction": r"\b(co-?administration|co-?administered|co-?treatment|combination therapy|combined with|drug interaction|drug-drug interaction|synerg|potentiat|CYP\d|cytochrome p450|P-?gp|p-glycoprotein|transporter|QT|qtc|torsade|anticoagul|bleeding|platelet|warfarin|statin)\b",
-    "combination": rf"\b({_TREAT})\b[\s\S]{{0,160}}\b({_CHEMO})\b|\b({_CHEMO})\b[\s\S]{{0,160}}\b({_TREAT})\b",
+    "combination": r"\b(combined with|combination|co-?treatment|co-?administered|co-?administration)\b[\s\S]{0,160}\b(chemotherapy|radiotherapy|cisplatin|CDDP|doxorubicin|platinum)\b|\b(chemotherapy|radiotherapy|cisplatin|CDDP|doxorubicin|platinum)\b[\s\S]{0,160}\b(combined with|combination|co-?treatment|co-?administered|co-?administration)\b",
     "human_safety": r"\b(label|boxed warning|contraindicat|warning|precaution|adverse reaction|adverse event|clinical safety|tolerability|pregnancy|lactation|dose adjustment|hepatic impairment|renal impairment)\b",
     "toxicity": r"\b(toxicity|toxic|cytotoxic|hepatotoxic|nephrotoxic|cardiotoxic|neurotoxic|genotoxic|teratogenic|mutagenic|adverse event|adverse reaction|side effect|side-effect|death|fatal|dose-limiting|organ toxicity|FAERS|surveillance)\b",
 }

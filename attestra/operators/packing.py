@@ -107,9 +107,9 @@ def pack_transcript(segments: DataFrame, by: Sequence[str], order: str, text: st
 
 def split_pages(lines: DataFrame, doc: str, page: str, pos: str, line: str) -> DataFrame:
     """Sections across page borders: heading, first and last page, joined body; lines before any heading go to "Body"."""
-    from attestra.operators.ranking import running
+    from attestra.operators.ranking import number_rows_by, running
     head = F.regexp_extract(line, r"^#{1,6}\s+(.+?)\s*$", 1)
-    marked = lines.withColumn("_head", F.nullif(head, F.lit(""))).withColumn("_order", F.col(page).cast("long") * 1_000_000 + F.col(pos))
+    marked = number_rows_by(lines.withColumn("_head", F.nullif(head, F.lit(""))), [page, pos], [doc], name="_order")
     flagged = running(marked, [doc], "_order", F.when(F.col("_head").isNotNull(), 1).otherwise(0).cast("long"), "section_no")
     body = F.when(F.col("_head").isNull(), F.col(line))
     agg = flagged.groupBy(doc, "section_no").agg(F.max("_head").alias("_h"), F.min(page).alias("page_start"), F.max(page).alias("page_end"),

@@ -99,14 +99,11 @@ def cap_rounds(rows: DataFrame, stored: DataFrame, batch: Mapping[str, int], tot
     return ranked.filter(F.col("_rank") <= F.least(F.coalesce(lookup(batch, s), F.lit(default[0])), room)).drop("_rank", "_have")
 
 
-def top_under_budget(df: DataFrame, by: Sequence[str], order_by: Sequence, cost, budget: int, min_cost: int = 1) -> DataFrame:
-    """Rows in rank order while the running cost fits the budget; the first row always stays.
-
-    Costs of at least ``min_cost`` allow no more than budget/min_cost rows, so ranks beyond are cut before the running sum.
-    """
-    limited = first_rows(df, by, order_by, max(1, budget // min_cost + 1), "rank")
-    spent = F.sum(F.greatest(as_col(cost), F.lit(min_cost))).over(Window.partitionBy(*by).orderBy("rank").rowsBetween(Window.unboundedPreceding, 0))
-    return limited.withColumn("running_cost", spent).filter((F.col("rank") == 1) | (F.col("running_cost") <= budget))
+def top_under_budget(df: DataFrame, by: Sequence[str], order_by: Sequence, cost, budget: int) -> DataFrame:
+    """Rows in rank order while the running cost fits the budget; the first row always stays. Any cost counts as it is, a null one as 0."""
+    ranked = number_rows_by(df, order_by, by, name="rank")
+    spent = running(ranked, by, "rank", F.coalesce(as_col(cost), F.lit(0)), "running_cost")
+    return spent.filter((F.col("rank") == 1) | (F.col("running_cost") <= budget))
 
 
 def concat_budget(parts: DataFrame, by: Sequence[str], order_by: Sequence, text, budget: int, sep: str = "\n\n", name: str = "text") -> DataFrame:

@@ -13,6 +13,7 @@ from attestra.functions.text import collapse, safe_id, split_headings, strip_fro
 from attestra.functions.urls import encode_path, keep_link, mirror_url, page_url, site_name
 from attestra.operators.packing import pack_text
 from attestra.operators.ranking import first_rows
+from attestra.session import cut_lineage
 
 POST_SCHEMA = "channel struct<item: array<struct<title: string, link: string, guid: string, pubDate: string, description: string>>>"
 
@@ -167,17 +168,25 @@ def profile_facts(profiles: DataFrame, key: str, links: Column | None = None) ->
 
 
 # --- H16 --------------------------------------------------------------------------------------------
-def walk_urls(documents: DataFrame, key: str, value: str, depth: int = 8, kept_only: bool = True) -> DataFrame:
-    """Every URL string inside nested JSON with its nearest named field; one explode per level, rows without children drop out."""
+def walk_urls(documents: DataFrame, key: str, value: str, depth: int | None = None, kept_only: bool = True) -> DataFrame:
+    """Every URL string inside nested JSON with its nearest named field; one explode per level until no nested rows are left.
+
+    With ``depth`` set, deeper nesting is an error, never a silent loss.
+    """
     level = documents.select(key, F.col(value).alias("_v"), F.lit(None).cast("string").alias("title"))
-    found = None
-    for _ in range(depth):
+    found, levels = None, 0
+    while True:
         hit = level.filter(F.schema_of_variant("_v") == "STRING").select(key, "title", F.trim(F.try_variant_get("_v", "$", "string")).alias("url")).filter(
             F.col("url").rlike("(?i)^(https?://|ipfs://)"))
         found = hit if found is None else found.unionByName(hit)
         nested = level.filter(F.schema_of_variant("_v").rlike("^(OBJECT|ARRAY)<"))
-        level = nested.lateralJoin(nested.sparkSession.tvf.variant_explode(F.col("_v").outer())).select(
-            nested[key], F.col("value").alias("_v"), F.coalesce(F.col("key"), F.col("title")).alias("title"))
+        level = cut_lineage(nested.lateralJoin(nested.sparkSession.tvf.variant_explode(F.col("_v").outer())).select(
+            nested[key], F.col("value").alias("_v"), F.coalesce(F.col("key"), F.col("title")).alias("title")))
+        levels += 1
+        if level.isEmpty():
+            break
+        if depth is not None and levels >= depth:
+            raise ValueError(f"documents nest deeper than {depth} levels")
     out = found.withColumn("url", mirror_url("url")).withColumn("site_name", site_name("url"))
     return out.filter(keep_link("url", "title")) if kept_only else out
 
