@@ -35,7 +35,9 @@ FIELDS = ("abstract", "aid", "assay_description", "doi", "pmid", "query", "title
 
 def material(spark, d):
     base = spark.sql(_BASE, documents=table(spark, d, "documents"))
-    return base.select("doc_id", "compound", "source_type", F.parse_json(F.to_json(F.struct(*FIELDS))).alias("content"), "longevity_relevance", "risk_relevance")
+    # explode of one value: the parse runs once for a row, and no filter above it can be pushed below and repeat it
+    content = F.explode(F.array(F.parse_json(F.to_json(F.struct(*FIELDS))))).alias("content")
+    return base.select("doc_id", "compound", "source_type", content, "longevity_relevance", "risk_relevance")
 
 
 _JSON = " || ".join(f"""coalesce('"{f}": ' || CAST(to_json({f}) AS VARCHAR) || ', ', '')""" for f in FIELDS if f != "query")

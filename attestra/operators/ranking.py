@@ -23,11 +23,11 @@ def first_rows(df: DataFrame, by: Sequence, order_by: Sequence, k: int = 1, rank
 
 
 def distinct_first(df: DataFrame, key, order_by: Sequence) -> DataFrame:
-    """First row per key; rows without a key all pass."""
-    key = as_col(key)
-    keyed = df.withColumn("_key", key)
-    picked = first_rows(keyed.filter(F.col("_key").isNotNull()), ["_key"], order_by).drop("_key")
-    return picked.unionByName(df.filter(key.isNull()))
+    """First row per key; rows without a key all pass, dealt over many window groups so that they are no hot one. One scan of the input."""
+    keyed = df.withColumn("_key", as_col(key))
+    salted = keyed.withColumn("_salt", F.when(F.col("_key").isNull(), F.monotonically_increasing_id() % 4096))
+    ranked = salted.withColumn("_rank", F.row_number().over(Window.partitionBy("_key", "_salt").orderBy(*order_by)))
+    return ranked.filter(F.col("_key").isNull() | (F.col("_rank") == 1)).drop("_key", "_salt", "_rank")
 
 
 def running(df: DataFrame, by: Sequence[str], order: str, value: Column | int, name: str, block: int = 65536) -> DataFrame:
