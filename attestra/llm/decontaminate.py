@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
 from attestra.llm.common import query, table
-from attestra.llm.jaccard import U8, mixed, word_hashes
+from attestra.llm.jaccard import U8, all_words, mixed, word_hashes
 
 BLOCKS, NEAR = 4, 3
 #: Every fingerprint within this many bits is found: with more than NEAR differing bits in each block there were BLOCKS * (NEAR + 1).
@@ -141,7 +141,7 @@ class Index:
     def found(self, texts: list[str]) -> list[dict[int, float]]:
         """For each text the items it holds, with the similarity of the best window of the item's own size."""
         out: list[dict[int, float]] = [{} for _ in texts]
-        hashed = [word_hashes(t) for t in texts]
+        hashed = list(all_words(texts))
         first = 0
         while first < len(texts):
             last, n = first, 0

@@ -19,10 +19,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attestra.llm.common import query, stored, table
-from attestra.llm.components import components
+from attestra.llm.components import components, merged
 
 U8 = np.uint64
 _seed = np.random.default_rng(20)
+BLANK = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
 LETTER = _seed.integers(1, 1 << 63, 256, dtype="u8") * U8(2) + U8(1)
 POWER = np.multiply.accumulate(np.where(np.arange(4096) == 0, U8(1), U8(0x9E3779B97F4A7C15)))
 
@@ -34,32 +35,63 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U8(31))
 
 
-def word_hashes(text: str) -> np.ndarray:
-    """A 64-bit hash of every word ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case."""
-    data = np.frombuffer(text.encode("utf-8", "surrogatepass").lower() + b" ", "u1")
-    blank = (data == 32) | ((data >= 9) & (data <= 13))
-    edge = np.flatnonzero(np.diff(blank.astype("i1"), prepend=1))  # starts and ends in turn
+def hashed_words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and first bytes of all words of UTF-8 text."""
+    x = np.frombuffer(data.lower() + b" ", "u1")  # bytes.lower() changes A-Z alone
+    blank = BLANK[x]
+    edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    if not blank[0]:
+        edge = np.concatenate([[0], edge])
     starts, ends = edge[::2], edge[1::2]
     if not len(starts):
-        return np.zeros(0, "u8")
-    place = np.arange(len(data)) - np.repeat(starts, np.diff(np.append(starts, len(data)))) if starts[0] == 0 else np.concatenate(
-        [np.zeros(starts[0], "i8"), np.arange(starts[0], len(data)) - np.repeat(starts, np.diff(np.append(starts, len(data))))])
-    weight = POWER[place % 4096] + (place // 4096).astype("u8")
-    value = np.where(blank, U8(0), LETTER[data] * weight)
-    return mixed(np.add.reduceat(value, starts) + (ends - starts).astype("u8") * U8(0xD6E8FEB86659FD93))
+        return np.zeros(0, "u8"), starts
+    place = np.arange(starts[0], len(x)) - np.repeat(starts, np.diff(np.append(starts, len(x))))
+    value = LETTER[x[starts[0]:]]
+    value *= POWER[place & 4095]
+    if place.max() > 4095:  # a longer word tells its stretches of 4096 bytes apart
+        value *= (place >> 12).astype("u8") * U8(2) + U8(1)
+    value[blank[starts[0]:]] = 0
+    return mixed(np.add.reduceat(value, starts - starts[0]) + (ends - starts).astype("u8") * U8(0xD6E8FEB86659FD93)), starts
 
 
-def shingles(text: str, width: int) -> np.ndarray:
-    """The sorted distinct shingles as 64-bit hashes; a text of fewer words has its whole sequence as one, a text without words none."""
-    w = word_hashes(text)
+def word_hashes(text: str) -> np.ndarray:
+    """A 64-bit hash of every word ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case."""
+    return hashed_words(text.encode("utf-8", "surrogatepass"))[0]
+
+
+def all_words(texts: list[str | None]) -> Iterator[np.ndarray]:
+    """Word hashes of each text; texts are hashed together in runs of about a megabyte."""
+    first = 0
+    while first < len(texts):
+        parts, size, last = [], 0, first
+        while last < len(texts) and (last == first or size < 1_000_000):
+            parts.append((texts[last] or "").encode("utf-8", "surrogatepass"))
+            size += len(parts[-1]) + 1
+            last += 1
+        hashes, starts = hashed_words(b" ".join(parts))
+        edges = np.searchsorted(starts, np.cumsum([0] + [len(p) + 1 for p in parts]))
+        for i, j in zip(edges[:-1], edges[1:], strict=True):
+            yield hashes[i:j]
+        first = last
+
+
+def shingle_set(w: np.ndarray, width: int) -> np.ndarray:
+    """The sorted distinct shingles of a text's words as 64-bit hashes; fewer words are one shingle, no words none."""
     n = len(w)
     if n == 0:
         return w
     k = min(n, width)
     total = np.full(n - k + 1, k, "u8")
     for j in range(k):
-        total = mixed(total * U8(0x2545F4914F6CDD1D) + w[j:n - k + 1 + j])
-    return np.unique(total)
+        total *= U8(0x2545F4914F6CDD1D)
+        total += w[j:n - k + 1 + j]
+        total = mixed(total)
+    total.sort()
+    return total[np.concatenate([[True], total[1:] != total[:-1]])]
+
+
+def shingles(text: str, width: int) -> np.ndarray:
+    return shingle_set(word_hashes(text), width)
 
 
 def set_hash(s: np.ndarray) -> int:
@@ -79,7 +111,7 @@ class Schemes:
 
     RATIO = 1.5
     #: Cost of an index row, of a chance match of two segments and of a row of the prefix index.
-    ROW, MATCH, PREFIX = 1.0, 40.0, 2.0
+    ROW, MATCH, PREFIX = 1.0, 200.0, 2.0
     #: Chance that a shingle of a segment is also in the other set's segment, for sets that do not link.
     SHARED = 0.05
 
@@ -150,8 +182,8 @@ def measured(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sizes, nodes = [], []
-            for t in b.column("text").to_pylist():
-                s = shingles(t or "", width)
+            for w in all_words(b.column("text").to_pylist()):
+                s = shingle_set(w, width)
                 sizes.append(len(s))
                 nodes.append(set_hash(s) if len(s) else None)
             yield pa.record_batch([b.column("doc_id"), b.column("row"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64())], ["doc_id", "row", "n_shingles", "node"])
@@ -164,8 +196,8 @@ def indexed(width: int, percent: int):
         schemes = Schemes(percent)
         for b in batches:
             keys, nodes, n = [], [], 0
-            for t in b.column(0).to_pylist():
-                s = shingles(t or "", width)
+            for w in all_words(b.column(0).to_pylist()):
+                s = shingle_set(w, width)
                 if len(s):
                     keys.append(schemes.keys(s))
                     nodes.append(set_hash(s))
@@ -246,8 +278,12 @@ def apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
 
 
 def shared_keys(rows: DataFrame, width: int, percent: int) -> DataFrame:
-    """key, node, low, high of every key that more than one set has; low and high are its least and greatest set."""
-    keyed = rows.select("text").mapInArrow(indexed(width, percent), "key long, node long")
+    """key, node, low, high of every key that more than one set has; low and high are its least and greatest set.
+
+    One exchange by key serves the aggregate and the join, so the index rows are made and moved once. A key's rows stream through one
+    task, sorted and spillable, against a single row; nothing holds them together.
+    """
+    keyed = rows.select("text").mapInArrow(indexed(width, percent), "key long, node long").repartition("key")
     shared = keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high")
     return stored(keyed.join(shared, "key").distinct(), "met")
 
@@ -266,7 +302,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", id_col: str = "doc_i
     kind = rows.schema["doc_id"].dataType.simpleString()
     base = stored(rows.mapInArrow(measured(width), f"doc_id {kind}, row long, n_shingles long, node long"), "sets")
     met = shared_keys(rows, width, percent)
-    known = links = comps = None
+    known = comps = None
     for turn in ("low", "high", "rest"):
         if turn == "rest":
             now = met.select("key", "node").join(comps, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
@@ -282,8 +318,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", id_col: str = "doc_i
         got = verified(pairs, rows, base, width, percent)
         new = got.filter("ok").select("a", "b")
         known = got.select("a", "b") if known is None else known.unionByName(got.select("a", "b"))
-        links = new if links is None else links.unionByName(new)
-        comps = stored(components(links), "components")
+        comps = stored(components(new), "components") if comps is None else merged(comps, new)
     placed = base.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = placed.filter("component is not null").groupBy("component").agg(F.min("doc_id").alias("least"))
     return placed.join(least, "component", "left").select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"), "component", "row")

@@ -8,7 +8,7 @@ import corpus_pipeline
 import numpy as np
 import pytest
 from attestra.llm import QUERIES, chat, common, quality, sharding
-from attestra.llm.components import components
+from attestra.llm.components import components, merged
 from pyspark.sql import functions as F
 
 
@@ -132,6 +132,10 @@ def test_components(spark):
     got = components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert Counter((r.node, r.component) for r in got) == Counter((x, find(x)) for x in list(parent))
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+    df = lambda e: spark.createDataFrame(e, "a long, b long")
+    whole = Counter(map(tuple, got))
+    assert Counter(map(tuple, merged(components(df(edges[:100])), df(edges[100:])).collect())) == whole
+    assert Counter(map(tuple, merged(components(df(edges)), df(edges[:50])).collect())) == whole
 
 
 def test_gradients_follow_the_loss():
