@@ -17,7 +17,7 @@ FIXTURE_TAGS = (
     "FutureWork", "Roadmap", "ImpactPotential", "Hedge", "Interpretive", "SourceAttribution", "NotInMap",
 )
 
-_CLAIM_COLUMNS = """doc_id AS claim_id, source AS doc_name, doc_id AS chunk_id, substr(text, 1, 200) AS claim, text AS chunk_text,
+_CLAIM_COLUMNS = """doc_id AS claim_id, source AS doc_name, doc_id AS chunk_id, text AS claim, text AS chunk_text,
   CASE doc_id % 5 WHEN 0 THEN 'Fact' WHEN 1 THEN 'Assertion' WHEN 2 THEN 'Fact' WHEN 3 THEN 'Roadmap' ELSE 'None' END AS claim_type,
   CASE doc_id % 4 WHEN 0 THEN 'supported' WHEN 1 THEN 'supported' WHEN 2 THEN 'unsupported' ELSE 'insufficient_info' END AS verdict,
   CASE WHEN doc_id % 11 = 0 THEN NULL ELSE CAST((doc_id * 37) % 101 AS DOUBLE) / 100 END AS relevancy_score,
