@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import json
+import operator
 from collections.abc import Mapping, Sequence
 
 import pandas as pd
@@ -37,6 +39,21 @@ PATTERNS = {
     "human_safety": r"\b(label|boxed warning|contraindicat|warning|precaution|adverse reaction|adverse event|clinical safety|tolerability|pregnancy|lactation|dose adjustment|hepatic impairment|renal impairment)\b",
     "toxicity": r"\b(toxicity|toxic|cytotoxic|hepatotoxic|nephrotoxic|cardiotoxic|neurotoxic|genotoxic|teratogenic|mutagenic|adverse event|adverse reaction|side effect|side-effect|death|fatal|dose-limiting|organ toxicity|FAERS|surveillance)\b",
 }
+# Letters in lower case of which a text must hold one from each group for its pattern to match; searched before the pattern.
+STEMS = {
+    "direct": (("lifespan", "life span", "longevity", "healthspan", "health span", "aging", "decline"),),
+    "indirect": (("senescence", "sasp", "autophagy", "mitochondri", "mtor", "ampk", "sirt", "nad", "aging", "oxidative", "oxygen", "proteostasis", "telomere", "insulin", "igf", "stem cell"),),
+    "aging_context": (("lifespan", "life span", "longevity", "healthspan", "health span", "aging", "related", "senescence", "frailty", "geriatric"),),
+    "oncology": (("cancer", "carcinoma", "tumor", "tumour", "oncolog", "neoplasm", "malignan", "cytotoxic", "therapy", "xenograft", "cell line", "hepatoma", "melanoma", "glioma", "leukemia",
+                  "nsclc", "colorectal"),),
+    "interaction": (("administ", "treatment", "combination", "combined", "interaction", "synerg", "potentiat", "cyp", "cytochrome", "gp", "p-glycoprotein", "transporter", "qt", "torsade",
+                     "anticoagul", "bleeding", "platelet", "warfarin", "statin"),),
+    "combination": (("combined", "combination", "treatment", "administ"), ("therapy", "cisplatin", "cddp", "doxorubicin", "platinum")),
+    "human_safety": (("label", "warning", "contraindicat", "precaution", "adverse", "safety", "tolerability", "pregnancy", "lactation", "dose", "impairment"),),
+    "toxicity": (("toxic", "teratogenic", "mutagenic", "adverse", "side", "death", "fatal", "dose", "faers", "surveillance"),),
+}
+# Letters outside ASCII that an any-case search takes for ASCII ones.
+FOLDED = ("\u017f", "\u0131", "\u0130")
 # Topic labels per axis, first match wins.
 TOPICS = {
     "longevity": (
@@ -94,9 +111,16 @@ def rule_text(source_type="source_type", content_json="content_json", payload_js
         plain_json(content_json), plain_json(payload_json) if payload_json is not None else F.lit("null"))
 
 
-def pattern_hits(text: Column, patterns: Mapping[str, str] = PATTERNS) -> Column:
-    """struct of one boolean per pattern: every pattern runs once per row, and the rules read the flags."""
-    return F.struct(*[matches(text, p).alias(k) for k, p in patterns.items()])
+def pattern_hits(text: Column, patterns: Mapping[str, str] = PATTERNS, stems: Mapping[str, Sequence[Sequence[str]]] = STEMS) -> Column:
+    """struct of one boolean per pattern: every pattern runs once per row, and only where the text holds letters it needs."""
+    holds = lambda t, words: functools.reduce(operator.or_, (F.contains(t, F.lit(w)) for w in words))
+
+    def flags(x: Column) -> Column:
+        low, raw = x["low"], x["raw"]
+        able = {k: functools.reduce(operator.and_, (holds(low, g) for g in stems[k])) | holds(raw, FOLDED) if k in stems else F.lit(True) for k in patterns}
+        return F.struct(*[F.when(able[k], matches(raw, p)).when(raw.isNotNull(), F.lit(False)).alias(k) for k, p in patterns.items()])
+
+    return F.get(F.transform(F.array(F.struct(F.lower(text).alias("low"), text.alias("raw"))), flags), F.lit(0))
 
 
 def longevity_override(hit: Mapping[str, Column], source_type, current, flagged: Column | None = None) -> Column:
