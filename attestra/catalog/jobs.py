@@ -330,7 +330,7 @@ def _(spark, d):
     return K.pick_smallest(docs(spark, d), "n_chars", "doc_id", 25).select("doc_id")
 
 
-@query("pick_shuffled")
+@query("pick_shuffled", "SELECT doc_id FROM documents ORDER BY md5(CAST(doc_id AS VARCHAR) || ':7'), doc_id LIMIT 25")
 def _(spark, d):
     return K.pick_shuffled(docs(spark, d), "doc_id", 7, 25).select("doc_id")
 
@@ -342,7 +342,11 @@ def _(spark, d):
     return P.overlap_join(s, ["conv_id"])
 
 
-@query("split_pages")
+@query("split_pages", """WITH p AS (SELECT source, doc_id AS page, string_split(text, chr(10)) AS ls FROM documents), l AS (SELECT source, page, unnest(ls) AS raw, generate_subscripts(ls, 1) - 1 AS pos FROM p),
+  m AS (SELECT *, CASE WHEN pos % 3 = 0 THEN '## ' || substr(raw, 1, 20) ELSE raw END AS line FROM l), h AS (SELECT *, nullif(regexp_extract(line, '^#{1,6}\\s+(.+?)\\s*$', 1), '') AS head FROM m),
+  n AS (SELECT *, count(head) OVER (PARTITION BY source ORDER BY page, pos) AS section_no FROM h)
+  SELECT source, section_no, coalesce(max(head), 'Body') AS heading, min(page) AS page_start, max(page) AS page_end,
+    length(trim(coalesce(string_agg(line, chr(10) ORDER BY page, pos) FILTER (head IS NULL), ''), ' ' || chr(9) || chr(10) || chr(13))) AS chars FROM n GROUP BY source, section_no""")
 def _(spark, d):
     base = docs(spark, d).select(F.col("source"), F.col("doc_id").alias("page"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
     return P.split_pages(base.withColumn("line", F.when(F.col("pos") % 3 == 0, F.concat(F.lit("## "), F.substring("line", 1, 20))).otherwise(F.col("line"))), "source", "page", "pos", "line").select(

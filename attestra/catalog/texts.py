@@ -216,9 +216,12 @@ def _(spark, d):
     return ln.select("line_id", T.source_key(title="lang").alias("key"), T.public_label(title="lang").alias("label"), T.public_url(item_id="line_id").alias("url"), T.verdict_mark("verdict").alias("mark"))
 
 
-@query("dedupe_sentences")
+@query("dedupe_sentences", """WITH s AS (SELECT doc_id, string_split(regexp_replace(text || ' ' || lower(text), '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)) AS parts FROM documents),
+  p AS (SELECT doc_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS i FROM s), t AS (SELECT doc_id, i, trim(part, ' ' || chr(9) || chr(10) || chr(13)) AS part FROM p),
+  k AS (SELECT * FROM t WHERE part <> '' QUALIFY row_number() OVER (PARTITION BY doc_id, lower(part) ORDER BY i) = 1)
+  SELECT d.doc_id, coalesce(string_agg(part, ' ' ORDER BY i), '') AS text FROM documents d LEFT JOIN k ON d.doc_id = k.doc_id GROUP BY d.doc_id""")
 def _(spark, d):
-    return docs(spark, d).select("doc_id", T.dedupe_sentences(F.concat("text", F.lit(" "), F.upper("text"))).alias("text"))
+    return docs(spark, d).select("doc_id", T.dedupe_sentences(F.concat("text", F.lit(" "), F.lower("text"))).alias("text"))
 
 
 @query("fingerprints", "SELECT doc_id, sha256(text) AS digest, substr(sha256(text), 1, 16) AS short FROM documents")
@@ -236,7 +239,9 @@ def _(spark, d):
 _TAGLIST = ("the", "and", "of", "that", "les", "die")
 
 
-@query("first_tags")
+@query("first_tags", f"""WITH s AS (SELECT doc_id, string_split_regex(text, '\\s+') AS ws FROM documents), w AS (SELECT doc_id, unnest(ws) AS t, generate_subscripts(ws, 1) AS i FROM s),
+  k AS (SELECT doc_id, t, min(i) AS i FROM w WHERE t IN {_TAGLIST!r} GROUP BY ALL), r AS (SELECT doc_id, t, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS n FROM k)
+  SELECT d.doc_id, {", ".join(f"coalesce(max(t) FILTER (n = {i}), '') AS claim_classification_{i}" for i in (1, 2, 3))} FROM documents d LEFT JOIN r ON d.doc_id = r.doc_id GROUP BY d.doc_id""")
 def _(spark, d):
     t = docs(spark, d).withColumn("tags", T.first_tags("text", _TAGLIST))
     return t.select("doc_id", *[F.array_join(c, "").alias(n) for n, c in T.classification_columns("tags").items()])

@@ -318,15 +318,12 @@ def severity_rank(severity) -> Column:
 
 # --- D7 repeated sentences ------------------------------------------------------------------------
 def dedupe_sentences(text) -> Column:
-    """Sentences in order, a repeat in any case left out."""
+    """Sentences in order, a repeat in any case left out. Sorting brings repeats together, so a text takes n log n steps."""
     parts = F.filter(F.transform(F.split(as_col(text), r"(?U)(?<=[.!?])\s+"), lambda s: strip_space(s)), lambda s: s != "")
-    none = F.array().cast(ARRAY)
-
-    def fold(acc, s):
-        return F.when(F.array_contains(acc["seen"], F.lower(s)), acc).otherwise(
-            F.struct(F.array_append(acc["seen"], F.lower(s)).alias("seen"), F.array_append(acc["kept"], s).alias("kept")))
-
-    return F.aggregate(parts, F.struct(none.alias("seen"), none.alias("kept")), fold, lambda acc: F.array_join(acc["kept"], " "))
+    sorted_parts = F.array_sort(F.transform(parts, lambda s, i: F.struct(F.lower(s).alias("low"), i.alias("i"), s.alias("s"))))
+    first = lambda e: F.filter(e, lambda x, k: ~F.get(e, k - 1)["low"].eqNullSafe(x["low"]))
+    kept = F.get(F.transform(F.array(sorted_parts), first), F.lit(0))  # the sorted parts are a lambda's own variable: computed once
+    return F.array_join(F.transform(F.array_sort(F.transform(kept, lambda x: F.struct(x["i"], x["s"]))), lambda x: x["s"]), " ")
 
 
 # --- H25 fingerprints -----------------------------------------------------------------------------

@@ -74,21 +74,24 @@ def pack_sections(docs: DataFrame, key: str, sections: Column, max_chars: int =
 def flush_sums(df: DataFrame, by: Sequence[str], order: Sequence, text: str, cost: Column, target: int, sep: str, flush_after: bool, name: str = "pack") -> DataFrame:
     """Greedy packs along an order: a pack closes before the item that would pass the target, or after the one that reaches it.
 
-    Items are folded per group, each as (order, cost), so a group is its numbers and not its texts until the packs are known.
+    Items are folded per group, each as (order, cost), so a group is its numbers and not its texts until the packs are known; the fold keeps
+    where packs begin.
     """
     ordered = F.array_sort(F.collect_list(F.struct(*[as_col(o) for o in order], cost.cast("long").alias("_cost"))))
     folded = df.groupBy(*by).agg(ordered.alias("_all"))
-    start = F.struct(F.lit(0).alias("pack"), F.lit(0).cast("long").alias("size"), F.array().cast("array<int>").alias("ids"))
+    start = F.struct(F.lit(0).alias("i"), F.lit(0).cast("long").alias("size"), F.array(F.lit(0)).alias("starts"))
 
     def step(acc, s):
         c = s["_cost"]
-        turn = (acc["size"] >= target) if flush_after else ((acc["size"] > 0) & (acc["size"] + c > target))
-        pack = acc["pack"] + F.when(turn, 1).otherwise(0)
-        return F.struct(pack.alias("pack"), F.when(turn, c).otherwise(acc["size"] + c).alias("size"), F.array_append(acc["ids"], pack).alias("ids"))
+        turn = (acc["i"] > 0) & ((acc["size"] >= target) if flush_after else ((acc["size"] > 0) & (acc["size"] + c > target)))
+        return F.struct((acc["i"] + 1).alias("i"), F.when(turn, c).otherwise(acc["size"] + c).alias("size"),
+                        F.when(turn, F.array_append(acc["starts"], acc["i"])).otherwise(acc["starts"]).alias("starts"))  # one entry for a pack, not for an item
 
-    ids = folded.select(*by, "_all", F.aggregate("_all", start, step, lambda acc: acc["ids"]).alias("_ids"))
+    cut = folded.select(*by, "_all", F.aggregate("_all", start, step, lambda acc: acc["starts"]).alias("_starts"))
     names = [o if isinstance(o, str) else "_o" for o in order]
-    flat = ids.select(*by, F.posexplode("_ids").alias("_i", name), "_all").select(*by, name, *[F.get("_all", F.col("_i"))[n].alias(n) for n in names])
+    packs = cut.select(*by, "_all", "_starts", F.posexplode("_starts").alias(name, "_from"))
+    until = F.coalesce(F.get("_starts", F.col(name) + 1), F.size("_all"))
+    flat = packs.select(*by, name, F.explode(F.slice("_all", F.col("_from") + 1, until - F.col("_from"))).alias("_x")).select(*by, name, *[F.col(f"_x.{n}").alias(n) for n in names])
     joined = df.join(flat, [*by, *names])
     return joined.groupBy(*by, name).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*names, text))), lambda s: s[text]), sep).alias("text"),
                                          F.count("*").alias("items"), F.sum(cost).alias("cost"))

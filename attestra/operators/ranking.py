@@ -132,8 +132,8 @@ def pick_smallest(items: DataFrame, size, name, limit: int) -> DataFrame:
 
 
 def pick_shuffled(items: DataFrame, key, seed: int, limit: int) -> DataFrame:
-    """A deterministic shuffle: the items with the smallest seeded hash."""
-    return items.orderBy(F.xxhash64(as_col(key), F.lit(seed)), as_col(key)).limit(limit)
+    """A deterministic shuffle: the items with the smallest seeded hash, one that other engines have too."""
+    return items.orderBy(F.md5(F.concat(as_col(key).cast("string"), F.lit(f":{seed}"))), as_col(key)).limit(limit)
 
 
 def batches(df: DataFrame, by: Sequence[str], order: str, n: int, name: str = "batch") -> DataFrame:
