@@ -8,8 +8,10 @@ whole sets. A set with too many empty segments for the pigeonhole is also indexe
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
+import operator
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -19,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attestra.llm.common import query, stored, table
-from attestra.llm.components import components, merged
+from attestra.llm.components import merged
 
 U8 = np.uint64
 _seed = np.random.default_rng(20)
@@ -102,7 +104,9 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     small, large = min(len(a), len(b)), max(len(a), len(b))
     if 100 * small < percent * large:
         return False
-    common = len(a) + len(b) - len(np.unique(np.concatenate([a, b])))
+    if len(a) > len(b):
+        a, b = b, a
+    common = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
     return 100 * common >= percent * (len(a) + len(b) - common)
 
 
@@ -177,19 +181,41 @@ class Schemes:
         return np.unique(np.concatenate(out))
 
 
+#: 64-bit words of a set's parity sketch.
+SKETCH = 16
+PARTS = [f"s{i}" for i in range(SKETCH)]
+
+
+def sketch(s: np.ndarray) -> np.ndarray:
+    """Parities of how many shingles fall on each of 1024 bits: two sketches differ in no more bits than their sets in shingles."""
+    at = (mixed(s ^ U8(0x3C6EF372FE94F82B)) >> U8(20)).astype("i8") % (64 * SKETCH)
+    return np.packbits((np.bincount(at, minlength=64 * SKETCH) & 1).astype("u1")).view("i8")
+
+
 def measured(width: int):
-    """doc_id, row, n_shingles, node: the hash of the whole set, null without shingles."""
+    """doc_id, row, n_shingles, node (the hash of the whole set, null without shingles) and the set's sketch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sizes, nodes = [], []
+            sizes, nodes, sketches = [], [], []
             for w in all_words(b.column("text").to_pylist()):
                 s = shingle_set(w, width)
                 sizes.append(len(s))
                 nodes.append(set_hash(s) if len(s) else None)
-            yield pa.record_batch([b.column("doc_id"), b.column("row"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64())], ["doc_id", "row", "n_shingles", "node"])
+                sketches.append(sketch(s))
+            parts = np.array(sketches, "i8").reshape(-1, SKETCH)
+            yield pa.record_batch([b.column("doc_id"), b.column("row"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), *[pa.array(parts[:, i]) for i in range(SKETCH)]],
+                                  ["doc_id", "row", "n_shingles", "node", *PARTS])
     return run
 
 
+def may_link(a: str, b: str, percent: int) -> Column:
+    """Whether sizes and sketches of two nodes (aliases a and b) leave a link possible; exact, as both are bounds."""
+    x, y = F.col(f"{a}.n"), F.col(f"{b}.n")
+    most = x + y - 2 * F.ceil((x + y) * percent / F.lit(float(100 + percent)) - 1e-9)
+    apart_by = functools.reduce(operator.add, (F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in PARTS))
+    return (F.least(x, y) * 100 >= F.greatest(x, y) * percent) & (apart_by <= most)
+
+
 def indexed(width: int, percent: int):
     """key, node: the index rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,13 +243,15 @@ def _key_batch(keys: list[np.ndarray], nodes: list[int]) -> pa.RecordBatch:
 def checked(width: int, percent: int):
     """a, b, ok: exact similarity of the whole texts of candidate pairs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple[int | None, np.ndarray] = (None, np.zeros(0, "u8"))
         for batch in batches:
-            ok = []
-            for a, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "text_a", "text_b")), strict=True):
-                if a != last[0]:
-                    last = (a, shingles(x, width))
-                ok.append(linked(last[1], shingles(y, width), percent))
+            names = batch.column("a").to_pylist()
+            new = [i for i, n in enumerate(names) if i == 0 or n != names[i - 1]]  # the join has brought equal a together
+            firsts = all_words(batch.column("text_a").take(pa.array(new, pa.int64())).to_pylist())
+            ok, seconds, start = [], all_words(batch.column("text_b").to_pylist()), set(new)
+            for i in range(len(names)):
+                if i in start:
+                    own = shingle_set(next(firsts), width)
+                ok.append(linked(own, shingle_set(next(seconds), width), percent))
             yield pa.record_batch([batch.column("a"), batch.column("b"), pa.array(ok)], ["a", "b", "ok"])
     return run
 
@@ -288,37 +316,55 @@ def shared_keys(rows: DataFrame, width: int, percent: int) -> DataFrame:
     return stored(keyed.join(shared, "key").distinct(), "met")
 
 
+#: Turns in which every set is compared with one more partner only.
+PICKS = 4
+
+
 def jaccard_components(docs: DataFrame, text: str = "text", id_col: str = "doc_id", width: int = 4, percent: int = 85) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (the smallest doc_id reachable by links, its own included), component (equal for linked rows, null
     without shingles), row (a hash of id and text).
 
-    Two rows link when their sets' Jaccard similarity is ``percent`` or more. Candidates are verified in three turns: every set of a key
-    against the key's least set, then against its greatest, then all sets of one key that still are in different components; so a group of
-    copies costs as many verifications as it has members, and yet no link between two components is left out. Null and empty texts have no
+    Two rows link when their sets' Jaccard similarity is ``percent`` or more. Sets of a key are first paired with the key's least and greatest
+    set; a few turns verify one such partner for every set, the next all of those that still stand apart, the last every pair of one key
+    across components. So a group of copies costs about as many verifications as it has members, and no link between components is left out. Null and empty texts have no
     shingles and stand alone under their own id; a null id is no smallest id unless its group has no other; repeated rows and ids are
     rows like others; other columns are not read; no rows give no rows.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")).withColumn("row", row_hash("doc_id", "text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    base = stored(rows.mapInArrow(measured(width), f"doc_id {kind}, row long, n_shingles long, node long"), "sets")
+    base = stored(rows.mapInArrow(measured(width), f"doc_id {kind}, row long, n_shingles long, node long, " + ", ".join(f"{c} long" for c in PARTS)), "sets")
+    nodes = stored(base.filter("node is not null").groupBy("node").agg(F.min("n_shingles").alias("n"), *[F.min(c).alias(c) for c in PARTS]), "nodes")
     met = shared_keys(rows, width, percent)
-    known = comps = None
-    for turn in ("low", "high", "rest"):
-        if turn == "rest":
-            now = met.select("key", "node").join(comps, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-            mixed_keys = now.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("key")
-            now = stored(now.join(mixed_keys, "key", "left_semi"), "open")
-            one, two = now.alias("one"), now.alias("two")
-            pairs = one.join(two, (F.col("one.key") == F.col("two.key")) & (F.col("one.node") < F.col("two.node")) & (F.col("one.component") != F.col("two.component"))).select(
-                F.col("one.node").alias("a"), F.col("two.node").alias("b")).distinct()
-        else:
-            pairs = met.select(F.least("node", turn).alias("a"), F.greatest("node", turn).alias("b")).filter("a <> b").distinct()
-        if known is not None:
-            pairs = apart(pairs, comps).join(known, ["a", "b"], "left_anti")
+    none = docs.sparkSession.createDataFrame([], "a long, b long")
+    state = {"known": none, "comps": none.select(F.col("a").alias("node"), F.col("b").alias("component"))}
+
+    def settle(pairs: DataFrame) -> None:
+        """Verifies pairs and joins the components of those that link."""
         got = verified(pairs, rows, base, width, percent)
-        new = got.filter("ok").select("a", "b")
-        known = got.select("a", "b") if known is None else known.unionByName(got.select("a", "b"))
-        comps = stored(components(new), "components") if comps is None else merged(comps, new)
+        state["known"] = state["known"].unionByName(got.select("a", "b"))
+        state["comps"] = merged(state["comps"], got.filter("ok").select("a", "b"))
+
+    # stars: every set of a key with the key's least and with its greatest set, where sizes and sketches allow a link
+    ends = F.explode(F.array("low", "high")).alias("end")
+    one, two = nodes.alias("one"), nodes.alias("two")
+    stars = met.select("node", ends).filter("node <> end").select(F.least("node", "end").alias("a"), F.greatest("node", "end").alias("b")).distinct()
+    stars = stored(stars.join(one, F.col("a") == F.col("one.node")).join(two, F.col("b") == F.col("two.node")).filter(may_link("one", "two", percent)).select("a", "b"), "stars")
+    for _ in range(PICKS):  # one partner for a set and turn: most of a group is together before most of its pairs were ever compared
+        left = apart(stars, state["comps"]).join(state["known"], ["a", "b"], "left_anti")
+        picked = stored(left.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "picked")
+        if picked.isEmpty():
+            break
+        settle(picked)
+    settle(apart(stars, state["comps"]).join(state["known"], ["a", "b"], "left_anti"))
+    # what is left: sets of one key in different components; sizes and sketches are part of the join's condition, so pairs that cannot link are never made
+    now = met.select("key", "node").join(state["comps"], "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    mixed_keys = now.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("key")
+    now = stored(now.join(mixed_keys, "key", "left_semi").join(nodes, "node"), "open")
+    one, two = now.alias("one"), now.alias("two")
+    rest = one.join(two, (F.col("one.key") == F.col("two.key")) & (F.col("one.node") < F.col("two.node")) & (F.col("one.component") != F.col("two.component")) & may_link("one", "two", percent))
+    rest = rest.select(F.col("one.node").alias("a"), F.col("two.node").alias("b")).distinct()
+    settle(rest.join(state["known"], ["a", "b"], "left_anti"))
+    comps = state["comps"]
     placed = base.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = placed.filter("component is not null").groupBy("component").agg(F.min("doc_id").alias("least"))
     return placed.join(least, "component", "left").select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"), "component", "row")

@@ -167,6 +167,15 @@ def test_linked_sets_share_a_key(size, seed):
             assert len(np.intersect1d(schemes.keys(a), schemes.keys(b)))
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.integers(0, 1500), st.integers(0, 1500), st.integers(0, 10**9))
+def test_sketches_differ_in_no_more_bits_than_sets_in_shingles(common, more, seed):
+    rnd = np.random.default_rng(seed)
+    both, a, b = (rnd.integers(0, 1 << 63, k, dtype="u8") for k in (common, more, more // 2))
+    a, b = np.unique(np.concatenate([both, a])), np.unique(np.concatenate([both, b]))
+    assert int(np.bitwise_count((jaccard.sketch(a) ^ jaccard.sketch(b)).view("u8")).sum()) <= len(np.setxor1d(a, b))
+
+
 def test_decontamination(spark, odd, odd_rows, none):
     rnd = random.Random(4)
     items = [(i, " ".join(f"q{rnd.randrange(300)}" for _ in range(n))) for i, n in enumerate([1, 3, 4, 5, 9, 14, 20, 33, 34, 60, 200])] + [(50, None), (51, ""), (None, "x y"), (52, "no such words here at all today")]
