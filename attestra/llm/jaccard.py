@@ -290,8 +290,7 @@ def named_texts(rows: DataFrame, base: DataFrame, nodes: DataFrame) -> DataFrame
 
 
 def verified(pairs: DataFrame, rows: DataFrame, base: DataFrame, width: int, percent: int) -> DataFrame:
-    """a, b, ok of pairs of nodes, from the whole texts."""
-    pairs = stored(pairs, "pairs")
+    """a, b, ok of stored pairs of nodes, from the whole texts."""
     texts = stored(named_texts(rows, base, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "pair-texts")
     one = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
     both = one.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
@@ -340,6 +339,9 @@ def jaccard_components(docs: DataFrame, text: str = "text", id_col: str = "doc_i
 
     def settle(pairs: DataFrame) -> None:
         """Verifies pairs and joins the components of those that link."""
+        pairs = stored(pairs, "pairs")
+        if pairs.isEmpty():
+            return
         got = verified(pairs, rows, base, width, percent)
         state["known"] = state["known"].unionByName(got.select("a", "b"))
         state["comps"] = merged(state["comps"], got.filter("ok").select("a", "b"))
@@ -351,10 +353,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", id_col: str = "doc_i
     stars = stored(stars.join(one, F.col("a") == F.col("one.node")).join(two, F.col("b") == F.col("two.node")).filter(may_link("one", "two", percent)).select("a", "b"), "stars")
     for _ in range(PICKS):  # one partner for a set and turn: most of a group is together before most of its pairs were ever compared
         left = apart(stars, state["comps"]).join(state["known"], ["a", "b"], "left_anti")
-        picked = stored(left.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "picked")
-        if picked.isEmpty():
-            break
-        settle(picked)
+        settle(left.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
     settle(apart(stars, state["comps"]).join(state["known"], ["a", "b"], "left_anti"))
     # what is left: sets of one key in different components; sizes and sketches are part of the join's condition, so pairs that cannot link are never made
     now = met.select("key", "node").join(state["comps"], "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
