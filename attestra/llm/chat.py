@@ -42,24 +42,23 @@ def best_paths(nodes: DataFrame, per_tree: int = 1) -> DataFrame:
     ids = nodes.select("tree", "node").alias("p")
     linked = nodes.alias("c").join(ids, (F.col("c.tree") == F.col("p.tree")) & (F.col("c.parent") == F.col("p.node")), "left").select(
         "c.tree", "c.node", F.col("p.node").alias("up"), F.coalesce("c.score", F.lit(0.0)).cast("double").alias("score"), F.lit(1).cast("long").alias("length"))
-    jumps = [stored(linked, "chat-jump")]
-    n = nodes.select(F.count("*")).first()[0]
-    while jumps[-1].filter("up is not null").limit(1).count():
-        if (1 << len(jumps)) > 2 * max(n, 1):  # only cycles are left
+    full, hops = stored(linked, "chat-jump"), []
+    n = full.count()
+    while True:
+        active = full.filter("up is not null")  # nodes deep enough for another step; the others have reached their root
+        if (1 << len(hops)) > 2 * max(n, 1) or not active.limit(1).count():  # beyond 2n steps only cycles are left
             break
-        last = jumps[-1]
-        a, b = last.alias("a"), last.alias("b")
-        jumps.append(stored(a.join(b, (F.col("a.tree") == F.col("b.tree")) & (F.col("a.up") == F.col("b.node")), "left").select(
-            "a.tree", "a.node", F.col("b.up").alias("up"), (F.col("a.score") + F.coalesce("b.score", F.lit(0.0))).alias("score"),
-            (F.col("a.length") + F.coalesce("b.length", F.lit(0))).alias("length")), "chat-jump"))
+        hops.append(active.select("tree", "node", "up"))
+        moved = active.alias("a").join(full.alias("b"), (F.col("a.tree") == F.col("b.tree")) & (F.col("a.up") == F.col("b.node"))).select(
+            "a.tree", "a.node", F.col("b.up").alias("up"), (F.col("a.score") + F.col("b.score")).alias("score"), (F.col("a.length") + F.col("b.length")).alias("length"))
+        full = stored(full.filter("up is null").unionByName(moved), "chat-jump")
     parents = linked.filter("up is not null").select("tree", F.col("up").alias("node")).distinct()
-    leaves = jumps[-1].filter("up is null").join(parents, ["tree", "node"], "left_anti")
+    leaves = full.filter("up is null").join(parents, ["tree", "node"], "left_anti")
     rank = F.row_number().over(Window.partitionBy("tree").orderBy((F.col("score") / F.col("length")).desc(), "node"))
     chosen = leaves.withColumn("rank", rank).filter(F.col("rank") <= per_tree)
     paths = chosen.select("tree", F.col("node").alias("leaf"), "rank", "node", (F.col("length") - 1).alias("place"))
-    for k in range(len(jumps) - 1, -1, -1):  # every listed node adds the one 2^k steps up, so a path of n nodes takes log2(n) joins
-        hop = jumps[k].filter("up is not null").select("tree", "node", "up")
-        added = paths.join(hop, ["tree", "node"]).select("tree", "leaf", "rank", F.col("up").alias("node"), (F.col("place") - (1 << k)).alias("place"))
+    for k in range(len(hops) - 1, -1, -1):  # every listed node adds the one 2^k steps up, so a path of n nodes takes log2(n) joins
+        added = paths.join(hops[k], ["tree", "node"]).select("tree", "leaf", "rank", F.col("up").alias("node"), (F.col("place") - (1 << k)).alias("place"))
         paths = stored(paths.unionByName(added), "chat-path")
     return paths
 
