@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime
 import hashlib
 import re
+import unicodedata
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -32,7 +33,7 @@ PATTERNS = {
     "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?!\w)",
 }
 #: A text without any of these holds nothing of the above.
-HINT = re.compile(r"@|\d{2}|[=:]\s*[\"']")
+HINT = re.compile(r"@|\d{2}|\d\.\d|[=:]\s*[\"']")
 FOUND = re.compile("|".join(f"(?P<{k}>{v})" for k, v in PATTERNS.items()))
 
 
@@ -100,6 +101,18 @@ def refill(shape: str, digits: str) -> str:
     return "".join(next(new) if c.isdigit() else c for c in shape)
 
 
+def ascii_digits(s: str) -> str:
+    """Decimal digits of every script, which the patterns match too, as 0-9."""
+    return s if s.isascii() else "".join(str(unicodedata.decimal(c)) if c.isdecimal() else c for c in s)
+
+
+def as_written(s: str, new: str) -> str:
+    """new with its digits in the scripts of those of s, one after the other; the last script goes on where new has more."""
+    zeros = [ord(c) - unicodedata.decimal(c) for c in s if c.isdecimal()]
+    at = iter(range(len(new)))
+    return "".join(chr(zeros[min(next(at), len(zeros) - 1)] + int(c)) if c.isdecimal() else c for c in new)
+
+
 def email(p: Permuter, s: str) -> str | None:
     """ASCII letters and digits of the local part within their kind; a local part with other letters becomes a keyed name."""
     local, _, host = s.partition("@")
@@ -189,7 +202,10 @@ def hide(text: str, p: Permuter) -> tuple[str, list[str]]:
     out, kinds, done, at = [], [], 0, 0
     while m := FOUND.search(text, at):
         kind = next(k for k in RULES if m[k] is not None)
-        new = RULES[kind](p, m[0])
+        if kind in ("secret", "email") or m[0].isascii():
+            new = RULES[kind](p, m[0])
+        elif new := RULES[kind](p, ascii_digits(m[0])):
+            new = as_written(m[0], new)
         if new is None:
             at = next((i for i in range(m.start() + 1, m.end()) if not text[i].isdigit() or not text[i - 1].isdigit()), m.end())
             continue

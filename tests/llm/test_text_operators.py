@@ -105,6 +105,21 @@ def test_pseudonyms(spark, odd, odd_rows, none):
     assert Counter(got.select("doc_id", "text").collect()) == Counter(odd.select("doc_id", "text").collect())  # nothing personal in there
     assert pii.pseudonymised(none).count() == 0 and pii.pseudonymised(odd, found=None).columns == odd.columns
 
+def test_single_digit_addresses_are_found():
+    p = pii.Permuter(b"key")
+    linked = pii.hide("ask 8.8.8.8 before 2001", p)[0].split()[1]
+    assert linked != "8.8.8.8" and pii.hide("ask 8.8.8.8", p) == (f"ask {linked}", ["ip"]) and pii.hide("1.1.1.1", p)[1] == ["ip"]
+
+
+@pytest.mark.parametrize("zero", ["٠", "०", "０"])
+def test_digits_of_other_scripts(zero):
+    """Values in other digits get the pseudonym of the same value in ASCII digits, written in their own."""
+    p, own = pii.Permuter(b"key"), str.maketrans("0123456789", "".join(chr(ord(zero) + i) for i in range(10)))
+    for value, kind in (("+1 (743) 555-3824", "phone"), ("4845168114407329", "card"), ("227.5.221.1", "ip"), ("8.8.8.8", "ip"), ("1980-02-29", "date"), ("123-45-6789", "ssn")):
+        new, kinds = pii.hide(value, p)
+        assert kinds == [kind] and pii.hide(value.translate(own), p) == (new.translate(own), [kind])
+    assert pii.hide("9807915762804490".translate(own), p)[1] == []  # a wrong check digit
+
 
 @pytest.mark.parametrize("width, percent", [(4, 85), (5, 80)])
 def test_jaccard_components(spark, odd, odd_rows, none, width, percent):
