@@ -167,9 +167,9 @@ class Index:
                 slack = max(2, size // 8)
                 low, high = max(int(starts[doc]), place - slack), min(int(ends[doc]), place + size + slack)
                 if size >= self.width and high - low >= self.width:
-                    # shingles of all windows around: too few common ones and no window reaches the threshold
-                    common = len(weight.keys() & set(shingle[low:high - self.width + 1].tolist()))
-                    if common < self.threshold * len(weight) * 0.9:
+                    # occurrences in the item of the shingles of all windows around: too few and no window reaches the threshold
+                    around = set(shingle[low:high - self.width + 1].tolist())
+                    if sum(n for s, n in weight.items() if s in around) < self.threshold * weight.total() - 1e-9:
                         continue
                 for at in range(low, max(low, min(place + slack, int(ends[doc]) - size)) + 1):
                     if (at, k) in tried:

@@ -238,6 +238,20 @@ def test_all_fingerprints_within_radius():
             want |= {(at, int(k)) for k, q in zip(g.items, g.prints, strict=True) if int(own ^ q).bit_count() <= decontaminate.RADIUS}
     assert got == want and len({k for _, k in got}) == 40
 
+def test_items_with_repeated_shingles():
+    """A refrain and other words: the weighted rule holds where few of the distinct shingles are common."""
+    rnd, tried = random.Random(6), 0
+    for _ in range(30):
+        item = [f"r{rnd.randrange(10**6)}" for _ in range(20)] * 4 + [f"o{rnd.randrange(10**6)}" for _ in range(9)]
+        body = [*item[:-9], *(f"c{rnd.randrange(10**6)}" for _ in range(9))]
+        a, b = (jaccard.word_hashes(" ".join(x)) for x in (item, body))
+        near = int.from_bytes(decontaminate.fingerprint(a)) ^ int.from_bytes(decontaminate.fingerprint(b))
+        if near.bit_count() <= decontaminate.RADIUS:
+            want = decontaminate.similarity(decontaminate.weights(a, 5), decontaminate.weights(b, 5))
+            assert want > 0.8 and decontaminate.Index([(1, " ".join(item))], 5, 0.8).found([" ".join(body)]) == [{1: want}]
+            tried += 1
+    assert tried > 20
+
 
 def brute_measures(t):
     w = re.findall(r"[^\x20\x09-\x0d]+", t)
