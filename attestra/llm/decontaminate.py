@@ -62,8 +62,9 @@ def similarity(a: Counter, b: Counter) -> float:
 
 @dataclass
 class Group:
-    """Items of near sizes: window size, step, fingerprints and for each block of bits the values near an item's."""
+    """Items of near sizes: least and window size, step, fingerprints and for each block of bits the values near an item's."""
 
+    least: int
     size: int
     step: int
     prints: np.ndarray
@@ -91,7 +92,7 @@ class Index:
             near = np.zeros((BLOCKS, 1 << 16), bool)
             for block in range(BLOCKS):
                 near[block, (np.ascontiguousarray(prints).view("u2")[:, block, None] ^ flips).ravel()] = True
-            self.groups.append(Group(size, max(1, size // STEP), np.ascontiguousarray(prints).view("u8")[:, 0], np.array(members), near))
+            self.groups.append(Group(low, size, max(1, size // STEP), np.ascontiguousarray(prints).view("u8")[:, 0], np.array(members), near))
 
     def candidates(self, w: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(places, items) of windows within RADIUS of an item, over texts laid end to end. A text a little shorter than a window is one window."""
@@ -133,7 +134,7 @@ class Index:
             last = (ends - g.size)[long]
             if g.step > 1 and len(last):
                 yield matched(g, table_of[last + span] - table_of[last], last)
-            short = ~long & ((ends - starts) * 1.25 >= g.size)
+            short = ~long & (ends - starts >= self.threshold * g.least)  # long enough for the smallest item
             if short.any():
                 first, final = starts[short], np.maximum(ends[short] - 1, starts[short] + 1)
                 yield matched(g, table_of[np.minimum(final, len(table_of) - 1)] - table_of[first], first)

@@ -252,6 +252,23 @@ def test_items_with_repeated_shingles():
             tried += 1
     assert tried > 20
 
+def test_truncated_copies_in_a_group_of_mixed_sizes():
+    """Whole documents shorter than the group's window, long enough for its smaller items."""
+    rnd, tried = random.Random(7), 0
+    for low, size, n in ((42, 46, 35), (47, 51, 39), (52, 56, 43), (30, 33, 25)):
+        for _ in range(20):
+            items = [(i, " ".join(f"q{rnd.randrange(10**6)}" for _ in range(m))) for i, m in enumerate((low, size))]
+            index, w = decontaminate.Index(items, 5, 0.8), items[0][1].split()
+            assert len(index.groups) == 1
+            for body in (w[:n], w[-n:]):
+                a, b = (jaccard.word_hashes(" ".join(x)) for x in (w, body))
+                near = int.from_bytes(decontaminate.fingerprint(a)) ^ int.from_bytes(decontaminate.fingerprint(b))
+                want = decontaminate.similarity(decontaminate.weights(a, 5), decontaminate.weights(b, 5))
+                if near.bit_count() <= decontaminate.RADIUS and want >= 0.8:
+                    assert index.found([" ".join(body)]) == [{0: want}]
+                    tried += 1
+    assert tried > 40
+
 
 def brute_measures(t):
     w = re.findall(r"[^\x20\x09-\x0d]+", t)
