@@ -1,12 +1,15 @@
 """License scans by sentence rules (operator 3), DataFrame functions only.
 
 Sentences are normalised and mapped to the identifiers of known licence sentences by a join; the identifiers of a document, in reading order,
-are then matched against ordered licence rules.
+are then matched against ordered licence rules. Lines are read as sentences and so are the wrapped lines of a paragraph together.
+
+The DuckDB text reads single lines and the sentences of ``SENTENCES`` only: it is a twin where no known sentence is wrapped, whole canonical
+(``CANONICAL``) or an SPDX tag with a blank.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from attestra.llm.common import query, table
@@ -53,11 +56,35 @@ RULES = (
     ("BSD", ("BSD-GRANT", "BSD-SOURCE")), ("BSD", ("BSD-SOURCE", "BSD-BINARY")),
     ("Proprietary", ("RIGHTS",)),
 )
+# The whole sentences of the canonical texts, where those above stop short of them, titles and more tags.
+CANONICAL = {
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions": "MIT-GRANT",
+    "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement": "MIT-WARRANTY",
+    "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied": "APACHE-WARRANTY",
+    "apache license version 0 0 january 0 http www apache org licenses": "APACHE-TITLE",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 0 of the license or at your option any later version": "GPL-TERMS",
+    "gnu general public license version 0 june 0": "GPL-TITLE",
+    "gnu general public license version 0 0 june 0": "GPL-TITLE",
+    "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution": "BSD-BINARY",
+    "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed": "BSD-WARRANTY",
+    "spdx license identifier bsd 0 clause": "BSD-NAME",
+    "spdx license identifier cc by 0 0": "CC-BY-NAME",
+    "spdx license identifier cc by nc 0 0": "CC-BY-NC-NAME",
+    "spdx license identifier cc by sa 0 0": "CC-BY-SA-NAME",
+}
+CANONICAL_RULES = (("Apache", ("APACHE-TITLE",)), ("GPL", ("GPL-TITLE",)), ("BSD", ("BSD-NAME",)))
 
 
 def sentences(text: Column) -> Column:
-    """A text's sentences: lines, cut after a full stop, colon, semicolon, question or exclamation mark that white space follows."""
-    return F.split(F.regexp_replace(text, r"([.:;!?])[ \t\r]+", "$1\n"), "\n", -1)
+    """A text's sentences with their line breaks: paragraphs, cut after a full stop, colon (but that of an SPDX tag), semicolon, question or exclamation
+    mark that white space follows. A line without a letter or digit, such as an empty one of a comment, ends a paragraph."""
+    return F.split(text, r"(?<=[.:;!?])(?<!(?i:SPDX-License-Identifier):)[ \t\r\n]+|\n(?=[^A-Za-z0-9\n]*+\n)", -1)
+
+
+def readings(sentence: Column) -> Column:
+    """The whole sentence, or null where it is one line, and its lines."""
+    lines = F.split(sentence, "\n", -1)
+    return F.concat(F.array(F.when(F.rlike(sentence, F.lit(r"\A[^A-Za-z0-9]*+[A-Za-z0-9][^\n]*+\n[^A-Za-z0-9]*+[A-Za-z0-9]")), sentence)), lines)
 
 
 def normalised(sentence: Column) -> Column:
@@ -65,20 +92,23 @@ def normalised(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(F.lower(sentence), "[0-9]+", "0"), "[^a-z0]+", " "))
 
 
-def license_scan(docs: DataFrame, text: str = "text", id_col: str = "doc_id", known: dict[str, str] | None = None, rules=RULES) -> DataFrame:
+def license_scan(docs: DataFrame, text: str = "text", id_col: str = "doc_id", known: dict[str, str] | None = None, rules=RULES + CANONICAL_RULES) -> DataFrame:
     """One row per document: doc_id, n_sentences (known ones), sentence_ids, versions and licenses (blank-separated strings; licenses sorted).
 
     versions: the numbers of each known sentence that has some, as in 2.0. Null and empty texts have no sentence; rows with the same id
     and text give equal rows; a null id stays; other columns are not read; an empty table gives no rows. ``known`` is a rule table, bounded by what a person writes.
     """
-    known = SENTENCES if known is None else known
+    known = SENTENCES | CANONICAL if known is None else known
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), body.alias("body")).withColumn("row", F.xxhash64(F.col("doc_id").cast("string"), "body"))
     names = docs.sparkSession.createDataFrame(list(known.items()), "norm string, name string")
-    said = rows.select("row", F.posexplode(sentences(F.col("body"))).alias("at", "raw")).withColumn("norm", normalised(F.col("raw"))).filter("norm <> ''")
+    cut = rows.select("row", F.posexplode(sentences(F.col("body"))).alias("at", "sentence"))
+    said = cut.select("row", "at", F.posexplode(readings(F.col("sentence"))).alias("line", "raw")).withColumn("norm", normalised(F.col("raw"))).filter("norm <> ''")
     version = F.array_join(F.regexp_extract_all("raw", F.lit("[0-9]+"), 0), ".")
-    found = said.join(F.broadcast(names), "norm").select("row", "at", "name", version.alias("version")).distinct()
-    listed = found.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("at", "name", "version"))).alias("s"))
+    found = said.join(F.broadcast(names), "norm").select("row", "at", "line", "name", version.alias("version")).distinct()
+    # a known sentence is not read again from its lines
+    found = found.withColumn("first", F.min("line").over(Window.partitionBy("row", "at"))).filter("line = 0 or first > 0")
+    listed = found.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("at", "line", "name", "version"))).alias("s"))
     joined = rows.select("doc_id", "row").join(listed, "row", "left")
     ids = F.coalesce(F.array_join(F.transform("s", lambda x: x["name"]), " "), F.lit(""))
     padded = F.concat(F.lit(" "), ids, F.lit(" "))

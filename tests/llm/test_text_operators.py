@@ -309,6 +309,93 @@ def test_license_scan(spark, odd, odd_rows, none):
     assert got == want
     assert licenses.license_scan(none).count() == 0 and licenses.license_scan(odd).count() == len(odd_rows)
 
+MIT = """MIT License
+
+Copyright (c) 2020 A. Person
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+BSD = """Copyright (c) 2020, A. Person
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND
+ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED
+WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE.
+"""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+"""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+
+
+def test_whole_licenses(spark):
+    """Canonical texts as they are wrapped, as comments, with carriage returns and on one line; titles and SPDX tags."""
+    texts = {"MIT": (MIT, "MIT-GRANT MIT-NOTICE MIT-WARRANTY"), "BSD": (BSD, "BSD-GRANT BSD-SOURCE BSD-BINARY BSD-WARRANTY"),
+             "GPL": (GPL, "GPL-FREE GPL-TERMS GPL-WARRANTY"), "Apache": (APACHE, "APACHE-HEAD APACHE-COMPLY APACHE-COPY APACHE-WARRANTY")}
+    docs, want = [], {}
+
+    def add(text, ids, name):
+        want[len(docs)] = (ids, name)
+        docs.append((len(docs), text))
+
+    for name, (text, ids) in texts.items():
+        for body in (text, text.replace("\n", "\r\n"), "/*\n" + re.sub("(?m)^", " * ", text) + "/\n", re.sub("(?m)^", "# ", text)):
+            add(body, ids, name)
+        if name != "Apache":  # on one line the address and the sentence after it are one
+            add(" ".join(text[text.index("\n\n") if name == "MIT" else 0:].split()).replace("A. Person", "Person."), ids, name)
+    add("                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007", "GPL-TITLE", "GPL")
+    add("        Apache License\n   Version 2.0, January 2004\n   http://www.apache.org/licenses/\n\n   TERMS", "APACHE-TITLE", "Apache")
+    for tag, ids, name in (("MIT", "MIT-NAME", "MIT"), ("Apache-2.0", "APACHE-NAME", "Apache"), ("GPL-2.0", "GPL-NAME", "GPL"), ("GPL-3.0-only", "GPL-NAME", "GPL"),
+                           ("GPL-3.0-or-later", "GPL-NAME", "GPL"), ("BSD-3-Clause", "BSD-NAME", "BSD"), ("CC-BY-SA-4.0", "CC-BY-SA-NAME", "CC-BY-SA")):
+        add(f"// SPDX-License-Identifier: {tag}\n// Copyright: A. Person\nint x;", ids, name)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {r.doc_id: (r.sentence_ids, r.licenses) for r in licenses.license_scan(df).collect()} == want
+
 
 def test_digest_columns(spark, sf):
     from attestra.llm import QUERIES
