@@ -37,23 +37,23 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U8(31))
 
 
-def hashed_words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and first bytes of all words of UTF-8 text."""
+def hashed_words(data: bytes, apart: np.ndarray = BLANK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, first bytes and ends of all words of UTF-8 text; ``apart`` marks the bytes between words, a blank among them."""
     x = np.frombuffer(data.lower() + b" ", "u1")  # bytes.lower() changes A-Z alone
-    blank = BLANK[x]
+    blank = apart[x]
     edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1
     if not blank[0]:
         edge = np.concatenate([[0], edge])
     starts, ends = edge[::2], edge[1::2]
     if not len(starts):
-        return np.zeros(0, "u8"), starts
+        return np.zeros(0, "u8"), starts, ends
     place = np.arange(starts[0], len(x)) - np.repeat(starts, np.diff(np.append(starts, len(x))))
     value = LETTER[x[starts[0]:]]
     value *= POWER[place & 4095]
     if place.max() > 4095:  # a longer word tells its stretches of 4096 bytes apart
         value *= (place >> 12).astype("u8") * U8(2) + U8(1)
     value[blank[starts[0]:]] = 0
-    return mixed(np.add.reduceat(value, starts - starts[0]) + (ends - starts).astype("u8") * U8(0xD6E8FEB86659FD93)), starts
+    return mixed(np.add.reduceat(value, starts - starts[0]) + (ends - starts).astype("u8") * U8(0xD6E8FEB86659FD93)), starts, ends
 
 
 def word_hashes(text: str) -> np.ndarray:
@@ -70,7 +70,7 @@ def all_words(texts: list[str | None]) -> Iterator[np.ndarray]:
             parts.append((texts[last] or "").encode("utf-8", "surrogatepass"))
             size += len(parts[-1]) + 1
             last += 1
-        hashes, starts = hashed_words(b" ".join(parts))
+        hashes, starts, _ = hashed_words(b" ".join(parts))
         edges = np.searchsorted(starts, np.cumsum([0] + [len(p) + 1 for p in parts]))
         for i, j in zip(edges[:-1], edges[1:], strict=True):
             yield hashes[i:j]
