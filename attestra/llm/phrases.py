@@ -30,7 +30,7 @@ ORDER = 4
 #: Bits of the table of pairs: its size does not depend on the data (8 MB).
 BIT_WORDS = 1 << 20
 #: Words and bytes that a task holds at a time.
-HELD_WORDS, HELD_BYTES = 2_000_000, 16_000_000
+HELD_WORDS, HELD_BYTES = 1_000_000, 8_000_000
 
 
 class Stretch:
