@@ -17,7 +17,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from attestra.llm.common import query, stored, table
@@ -77,6 +77,12 @@ def all_words(texts: list[str | None]) -> Iterator[np.ndarray]:
         first = last
 
 
+def column_words(texts: pa.Array) -> Iterator[np.ndarray]:
+    """Word hashes of each text of a column, of which a slice at a time becomes Python objects."""
+    for i in range(0, len(texts), SLICE):
+        yield from all_words(texts.slice(i, SLICE).to_pylist())
+
+
 def shingle_set(w: np.ndarray, width: int) -> np.ndarray:
     """The sorted distinct shingles of a text's words as 64-bit hashes; fewer words are one shingle, no words none."""
     n = len(w)
@@ -181,6 +187,24 @@ class Schemes:
         return np.unique(np.concatenate(out))
 
 
+    def spare(self, s: np.ndarray) -> Iterator[tuple[int, bool, np.ndarray]]:
+        """The second index: for each scheme how many keys have to be looked up, whether the set does so as the smaller of a pair, and the keys of twice as many segments.
+
+        Sets that link differ in fewer segments than are looked up, empty ones included, whichever these are: so the rarest can be taken.
+        """
+        size = len(s)
+        low, high = self.band(-(-self.percent * size // 100))
+        while low <= size:
+            need = self.of(low, high)[0] + 1
+            tag = U8(low * 0xA0761D6478BD642F % (1 << 64)) ^ U8(0x2545F4914F6CDD1D)
+            total = np.zeros(2 * need, "u8")
+            np.add.at(total, (mixed(s + tag) >> U8(33)).astype("i8") % (2 * need), mixed(s ^ U8(0x5851F42D4C957F2D)))
+            yield need, high >= size, mixed(total + tag + np.arange(1, 2 * need + 1).astype("u8") * U8(0xE7037ED1A0B428DB))
+            low, high = self.band(high + 1)
+
+
+#: Texts that a task turns into Python objects at a time.
+SLICE = 256
 #: 64-bit words of a set's parity sketch.
 SKETCH = 16
 PARTS = [f"s{i}" for i in range(SKETCH)]
@@ -197,7 +221,7 @@ def measured(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sizes, nodes, sketches = [], [], []
-            for w in all_words(b.column("text").to_pylist()):
+            for w in column_words(b.column("text")):
                 s = shingle_set(w, width)
                 sizes.append(len(s))
                 nodes.append(set_hash(s) if len(s) else None)
@@ -222,7 +246,7 @@ def indexed(width: int, percent: int):
         schemes = Schemes(percent)
         for b in batches:
             keys, nodes, n = [], [], 0
-            for w in all_words(b.column(0).to_pylist()):
+            for w in column_words(b.column(0)):
                 s = shingle_set(w, width)
                 if len(s):
                     keys.append(schemes.keys(s))
@@ -236,23 +260,41 @@ def indexed(width: int, percent: int):
     return run
 
 
+def spared(width: int, percent: int):
+    """key, node, need: the second index; need is null where the set is not the one that looks up."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schemes = Schemes(percent)
+        for b in batches:
+            for node, w in zip(b.column("node").to_pylist(), column_words(b.column("text")), strict=True):
+                for need, asks, keys in schemes.spare(shingle_set(w, width)):
+                    n = len(keys)
+                    yield pa.record_batch([pa.array(keys.view("i8")), pa.array(np.full(n, node, "i8")), pa.array(np.full(n, need, "i4"), mask=np.full(n, not asks))], ["key", "node", "need"])
+    return run
+
+
 def _key_batch(keys: list[np.ndarray], nodes: list[int]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(np.concatenate(keys).view("i8")), pa.array(np.repeat(np.array(nodes, "i8"), [len(k) for k in keys]))], ["key", "node"])
 
 
 def checked(width: int, percent: int):
-    """a, b, ok: exact similarity of the whole texts of candidate pairs."""
+    """a, b, ok: exact similarity of the whole texts of candidate pairs. Rows come by a and salt: first the text of a (b is null), then those of its partners."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_name, own = None, None
         for batch in batches:
-            names = batch.column("a").to_pylist()
-            new = [i for i, n in enumerate(names) if i == 0 or n != names[i - 1]]  # the join has brought equal a together
-            firsts = all_words(batch.column("text_a").take(pa.array(new, pa.int64())).to_pylist())
-            ok, seconds, start = [], all_words(batch.column("text_b").to_pylist()), set(new)
-            for i in range(len(names)):
-                if i in start:
-                    own = shingle_set(next(firsts), width)
-                ok.append(linked(own, shingle_set(next(seconds), width), percent))
-            yield pa.record_batch([batch.column("a"), batch.column("b"), pa.array(ok)], ["a", "b", "ok"])
+            firsts, seconds, ok = [], [], []
+            for i in range(0, batch.num_rows, SLICE):
+                part = batch.slice(i, SLICE)
+                names, partners = part.column("a").to_pylist(), part.column("b").to_pylist()
+                for a, b, w in zip(names, partners, all_words(part.column("text").to_pylist()), strict=True):
+                    if b is None:
+                        own_name, own = a, shingle_set(w, width)
+                        continue
+                    if a != own_name:
+                        raise RuntimeError("a pair has met no first text")
+                    firsts.append(a)
+                    seconds.append(b)
+                    ok.append(linked(own, shingle_set(w, width), percent))
+            yield pa.record_batch([pa.array(firsts, pa.int64()), pa.array(seconds, pa.int64()), pa.array(ok, pa.bool_())], ["a", "b", "ok"])
     return run
 
 
@@ -289,12 +331,18 @@ def named_texts(rows: DataFrame, base: DataFrame, nodes: DataFrame) -> DataFrame
     return maybe_named(rows, ids).select("row", "text").join(ids, "row").groupBy("node").agg(F.min("text").alias("text"))
 
 
+#: Tasks over which the partners of one set are dealt.
+SALTS = 16
+
+
 def verified(pairs: DataFrame, rows: DataFrame, base: DataFrame, width: int, percent: int) -> DataFrame:
-    """a, b, ok of stored pairs of nodes, from the whole texts."""
+    """a, b, ok of stored pairs of nodes, from the whole texts. A row holds one text; that of a set with many partners goes once to each of a few salts."""
     texts = stored(named_texts(rows, base, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "pair-texts")
-    one = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    both = one.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-    return stored(both.select("a", "b", "text_a", "text_b").mapInArrow(checked(width, percent), "a long, b long, ok boolean"), "verified")
+    pairs = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)))
+    partners = pairs.join(texts.select(F.col("node").alias("b"), "text"), "b").select("a", "salt", "b", "text")
+    own = pairs.select("a", "salt").distinct().join(texts.select(F.col("node").alias("a"), "text"), "a").select("a", "salt", F.lit(None).cast("long").alias("b"), "text")
+    both = own.unionByName(partners).repartition("a", "salt").sortWithinPartitions("a", "salt", F.asc_nulls_first("b"))
+    return stored(both.select("a", "b", "text").mapInArrow(checked(width, percent), "a long, b long, ok boolean"), "verified")
 
 
 def apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
@@ -317,6 +365,26 @@ def shared_keys(rows: DataFrame, width: int, percent: int) -> DataFrame:
 
 #: Turns in which every set is compared with one more partner only.
 PICKS = 4
+#: Sets of a key up to which its pairs are compared one by one, and the part of such keys that goes first: sets of one text share many keys.
+FEW, SHARE = 512, 16
+
+
+def with_component(rows: DataFrame, comps: DataFrame) -> DataFrame:
+    return rows.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def still_open(met: DataFrame, comps: DataFrame) -> DataFrame:
+    """key, node, component of the keys whose sets are not all in one component."""
+    now = with_component(met.select("key", "node"), comps)
+    return now.join(now.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("key"), "key", "left_semi")
+
+
+def met_pairs(asking: DataFrame, held: DataFrame, percent: int) -> DataFrame:
+    """a, b: sets of one key in different components; sizes and sketches are part of the join's condition, so pairs that cannot link are never made."""
+    one, two = asking.alias("one"), held.alias("two")
+    smaller = F.struct("one.n", "one.node") < F.struct("two.n", "two.node")
+    rest = one.join(two, (F.col("one.key") == F.col("two.key")) & smaller & (F.col("one.component") != F.col("two.component")) & may_link("one", "two", percent))
+    return rest.select(F.least("one.node", "two.node").alias("a"), F.greatest("one.node", "two.node").alias("b")).distinct()
 
 
 def jaccard_components(docs: DataFrame, text: str = "text", id_col: str = "doc_id", width: int = 4, percent: int = 85) -> DataFrame:
@@ -324,8 +392,9 @@ def jaccard_components(docs: DataFrame, text: str = "text", id_col: str = "doc_i
     without shingles), row (a hash of id and text).
 
     Two rows link when their sets' Jaccard similarity is ``percent`` or more. Sets of a key are first paired with the key's least and greatest
-    set; a few turns verify one such partner for every set, the next all of those that still stand apart, the last every pair of one key
-    across components. So a group of copies costs about as many verifications as it has members, and no link between components is left out. Null and empty texts have no
+    set; a few turns verify one such partner for every set, the next all of those that still stand apart. Then keys of few sets are compared
+    pair by pair across components, and the sets of crowded keys are indexed again with twice the segments that a link needs and look up
+    their rarest ones. So a group of copies costs about as many verifications as it has members, and no link between components is left out. Null and empty texts have no
     shingles and stand alone under their own id; a null id is no smallest id unless its group has no other; repeated rows and ids are
     rows like others; other columns are not read; no rows give no rows.
     """
@@ -355,17 +424,26 @@ def jaccard_components(docs: DataFrame, text: str = "text", id_col: str = "doc_i
         left = apart(stars, state["comps"]).join(state["known"], ["a", "b"], "left_anti")
         settle(left.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
     settle(apart(stars, state["comps"]).join(state["known"], ["a", "b"], "left_anti"))
-    # what is left: sets of one key in different components; sizes and sketches are part of the join's condition, so pairs that cannot link are never made
-    now = met.select("key", "node").join(state["comps"], "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    mixed_keys = now.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("key")
-    now = stored(now.join(mixed_keys, "key", "left_semi").join(nodes, "node"), "open")
-    one, two = now.alias("one"), now.alias("two")
-    rest = one.join(two, (F.col("one.key") == F.col("two.key")) & (F.col("one.node") < F.col("two.node")) & (F.col("one.component") != F.col("two.component")) & may_link("one", "two", percent))
-    rest = rest.select(F.col("one.node").alias("a"), F.col("two.node").alias("b")).distinct()
-    settle(rest.join(state["known"], ["a", "b"], "left_anti"))
+    # what is left: sets of one key in different components. Keys of few sets are compared pair by pair, a share of the keys before the others;
+    # the sets of other keys are indexed again and look up their rarest segments only
+    open_rows = still_open(met, state["comps"])
+    few = open_rows.groupBy("key").agg(F.count("*").alias("members")).filter(F.col("members") <= FEW).select("key")
+    crowded = stored(open_rows.join(few, "key", "left_anti").select("node").distinct(), "crowded")
+    for share in (SHARE, 1):
+        part = still_open(met.filter(F.pmod("key", F.lit(share)) == 0).join(few, "key", "left_semi"), state["comps"]).join(nodes, "node")
+        settle(met_pairs(part, part, percent).join(state["known"], ["a", "b"], "left_anti"))
+    if not crowded.isEmpty():
+        texts = named_texts(rows, base, crowded)
+        again = stored(texts.mapInArrow(spared(width, percent), "key long, node long, need int"), "again")
+        shared = again.groupBy("key").agg(F.count("*").alias("members"))
+        rarest = F.row_number().over(Window.partitionBy("node").orderBy("members", "key"))  # a set's keys of one scheme
+        asked = again.filter("need is not null").join(shared, "key").withColumn("place", rarest).filter("place <= need and members > 1").select("key", "node")
+        asked = stored(with_component(asked, state["comps"]).join(nodes, "node"), "asked")
+        held = with_component(again.select("key", "node").join(asked.select("key").distinct(), "key", "left_semi"), state["comps"]).join(nodes, "node")
+        settle(met_pairs(asked, held, percent).join(state["known"], ["a", "b"], "left_anti"))
     comps = state["comps"]
     placed = base.join(comps, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = placed.filter("component is not null").groupBy("component").agg(F.min("doc_id").alias("least"))
+    least = stored(placed.filter("component is not null").groupBy("component").agg(F.min("doc_id").alias("least")), "least")
     return placed.join(least, "component", "left").select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"), "component", "row")
 
 
