@@ -20,7 +20,7 @@ PLAIN = re.compile(r"( ?)([A-Za-zÀ-ÖØ-öø-ÿ]*)([.,;:!?*$%&#|<>()\[\]{}/\\\"
 class Words:
     """One tokenizer file in one Python worker. ``ids(word)`` is remembered for up to ``keep`` words."""
 
-    def __init__(self, path: str, keep: int = 600_000):
+    def __init__(self, path: str, keep: int = 300_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
