@@ -6,7 +6,7 @@ lose too much are rejected. Base rules on words, symbols and repetition come fir
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attestra.llm.common import query, stored, table
@@ -59,7 +59,7 @@ def measures(docs: DataFrame) -> DataFrame:
 
 
 def frequent_lines(docs: DataFrame, limit: int) -> DataFrame:
-    """(host, line hash) of normalised lines in more than ``limit`` documents of the host. docs: host, body."""
+    """(host, line hash) of normalised lines in more than ``limit`` rows of the host: all that can be in more than ``limit`` documents. docs: host, body."""
     hashes = F.array_distinct(F.transform(line_list(F.col("body")), lambda x: F.xxhash64(normalised(x))))
     return docs.select("host", F.explode(hashes).alias("line")).groupBy("host", "line").agg(F.count("*").alias("n_docs")).filter(F.col("n_docs") > limit)
 
@@ -69,20 +69,24 @@ def line_rules(docs: DataFrame, text: str = "text", host: str = "source", id_col
     """One row per document: doc_id, the five measures, base_failed, kept, and with ``with_text`` cleaned, the text without its frequent lines.
 
     limit: documents of one host that may share a line. A document is depleted, and not kept, when less than ``min_left`` of its words, or
-    fewer than ``min_words``, remain. Null texts count as empty (and fail), a null host is a host of its own, rows that repeat id, host and
-    text count as documents each and get the same verdict; nulls and repeats of the id stay; other columns are not read; no rows give no rows.
+    fewer than ``min_words``, remain. Null texts count as empty (and fail), a null host is a host of its own, rows of the same id are one
+    document when documents are counted, rows without an id one for each text; every row gets its own verdict, rows that repeat id, host and
+    text the same one; other columns are not read; no rows give no rows.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.xxhash64(F.col(host).cast("string")), F.lit(0)).alias("host"), body.alias("body")).withColumn(
         "row", F.xxhash64(F.col("doc_id").cast("string"), "host", "body"))
-    # stored, so that the planner knows its size when it picks the join
-    frequent = stored(frequent_lines(rows, limit).select("host", "line"), "lines")
+    rows = rows.withColumn("doc", F.when(F.col("doc_id").isNull(), F.col("row")).otherwise(F.xxhash64(F.col("doc_id").cast("string"))))
+    # rows bound documents from above, so a count of rows with map-side sums finds the few lines whose documents are then counted exactly;
+    # both are stored, so that the planner knows their sizes when it picks the joins
+    often = stored(frequent_lines(rows, limit).select("host", "line"), "lines")
     each = F.transform(line_list(F.col("body")), lambda x: F.struct(F.xxhash64(normalised(x)).alias("line"), F.size(F.split(normalised(x), " ")).alias("n")))
-    hits = rows.select("row", "host", F.explode(each).alias("x")).select("row", "host", "x.*").join(frequent, ["host", "line"])
-    gone = hits.groupBy("row").agg(F.collect_set("line").alias("gone"), F.sum("n").alias("lost"))
-    base = measures(rows) if with_text else measures(rows).drop("body")
-    copies = F.count("*").over(Window.partitionBy("row"))  # repeated rows have hit together
-    out = base.withColumn("copies", copies).join(gone, "row", "left").withColumn("left", F.col("n_words") - F.coalesce(F.col("lost") / F.col("copies"), F.lit(0)))
+    found = rows.select("row", "doc", "host", F.posexplode(each).alias("at", "x")).select("row", "doc", "host", "at", "x.*").join(often, ["host", "line"])
+    hits = stored(found.dropDuplicates(["row", "at"]), "line-hits")  # repeated rows have hit together
+    frequent = hits.groupBy("host", "line").agg(F.count_distinct("doc").alias("n_docs")).filter(F.col("n_docs") > limit)
+    gone = hits.join(frequent, ["host", "line"], "left_semi").groupBy("row").agg(F.collect_set("line").alias("gone"), F.sum("n").alias("lost"))
+    base = (measures(rows) if with_text else measures(rows).drop("body")).drop("doc")
+    out = base.join(gone, "row", "left").withColumn("left", F.col("n_words") - F.coalesce("lost", F.lit(0)))
     failed = (F.col("n_words") < min_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * int(round(max_repeat * 100)))
     out = out.withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("left") >= min_words) & (F.col("left") >= F.col("n_words") * min_left))
     cleaned = F.array_join(F.filter(F.split("body", "\n", -1), lambda x: ~F.coalesce(F.array_contains("gone", F.xxhash64(normalised(x))), F.lit(False))), "\n")

@@ -298,6 +298,17 @@ def test_line_rules(spark, odd, odd_rows, none):
     assert got[20] == (True, docs[12][1]) and got[21] == (True, docs[13][1])
 
 
+def test_documents_are_counted_once(spark):
+    line = "a line that many rows of a single document hold again and again here"
+    own = lambda i: " ".join("abcdefghi"[i] * (k + 1) for k in range(30))  # noqa: E731  digits would not tell lines apart
+    rows = [(1, f"{line}\n{own(0)}", "a")] * 9 + [(1, f"{line}\n{own(i)}", "a") for i in range(9)] + [(i, f"{line}\n{own(i)}", "b") for i in range(6)] + [(None, f"{line}\n{own(i)}", "c") for i in range(6)]
+    got = lines.line_rules(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4), limit=5, with_text=True).collect()
+    assert len(got) == len(rows) and all(r.kept for r in got)
+    cut = Counter((r.doc_id, r.cleaned.startswith(line)) for r in got)
+    assert cut[(1, True)] == 18 and cut[(1, False)] == 1  # one document of host a, one of the six of host b
+    assert cut[(None, False)] == 6 and all(cut[(i, False)] == 1 for i in (0, 2, 3, 4, 5))
+
+
 def test_license_scan(spark, odd, odd_rows, none):
     head = "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at"
     docs = [(1, "Text.\nReleased under the MIT License.\nMore"), (2, head), (3, "THIS WORK is licensed under the GNU General Public License, version 3. All rights reserved."), (4, None), (5, ""),
