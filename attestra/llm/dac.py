@@ -150,7 +150,7 @@ def write_ids(docs: DataFrame, path: str, folder: str, text: str = "text", id_co
 
 
 def read_ids(files: DataFrame, folder: str) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of every document, from the files."""
+    """doc_id, start, n_tokens, ids_crc32 of every document, from the files; a task for each file or so. No files give no rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = pafs.FileSystem.from_uri(folder)
         for b in batches:
@@ -162,7 +162,8 @@ def read_ids(files: DataFrame, folder: str) -> DataFrame:
                 yield pa.record_batch([pa.array(r.doc_ids, mask=r.present == 0), pa.array(edges[:-1] + start), pa.array(np.diff(edges)), pa.array(crcs, pa.int64())],
                                       ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return files.select("name", "start").repartition("name").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    tasks = max(1, files.count())  # a number that is given is not folded: each file is opened by a task of its own, but for hash ties
+    return files.select("name", "start").repartition(tasks, "name").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 @query("op7_addressable_codes")
