@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import BinaryType, DoubleType, IntegerType, StructField, StructType
 
 from attestra.llm.common import query, table
 
@@ -136,24 +136,34 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, hidden: int = 24, gate: int
     return model
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int, text: str, id_col: str, label: str) -> tuple[list[np.ndarray], np.ndarray]:
-    """Passages and labels of at most ``per_class`` documents of each label, those with the least hashed ids."""
+def spread(x: np.ndarray, most: int) -> np.ndarray:
+    """At most ``most`` rows, evenly spaced from the first to the last."""
+    return x if len(x) <= most else x[np.linspace(0, len(x) - 1, most).round().astype(int)]
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int, text: str, id_col: str, label: str, most: int = 256) -> tuple[list[np.ndarray], np.ndarray]:
+    """Passages and labels of at most ``per_class`` documents of each label, those with the least hashed ids.
+
+    A document gives fitting at most ``most`` of its passages, evenly spaced over the whole text, so the bytes that reach the driver are bounded
+    by 2 * per_class * most rows of features; scoring reads all passages. Ids are of any type that sorts.
+    """
     known = labels.select(F.col(id_col).alias("id"), F.col(label).cast("int").alias("y")).filter("id is not null and y in (0, 1)").groupBy("id").agg(F.min("y").alias("y"))
     picked = [known.filter(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(per_class) for y in (0, 1)]
     sample = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).join(F.broadcast(picked[0].unionByName(picked[1])), "id")  # at most 2 * per_class ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = [passages(t or "").astype("f2").tobytes() for t in b.column("text").to_pylist()]
+            x = [spread(passages(t or ""), most).astype("f2").tobytes() for t in b.column("text").to_pylist()]
             yield pa.record_batch([b.column("id"), b.column("y"), pa.array(x, pa.binary())], ["id", "y", "x"])
 
-    rows = sorted(sample.mapInArrow(run, "id long, y int, x binary").collect(), key=lambda r: (r.id, r.x))
+    schema = StructType([StructField("id", sample.schema["id"].dataType), StructField("y", IntegerType()), StructField("x", BinaryType())])
+    rows = sorted(sample.mapInArrow(run, schema).collect(), key=lambda r: (r.id, r.x))
     return [np.frombuffer(r.x, "f2").astype("f4").reshape(-1, N_FEATURES) for r in rows], np.array([r.y for r in rows], "f8")
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = 1500, text: str = "text", id_col: str = "doc_id", label: str = "quality") -> Model:
-    """A model from at most ``per_class`` documents of each label. Classes are drawn apart, so the score's level is set back to the labels' own share."""
-    bags, y = labelled_sample(docs, labels, per_class, text, id_col, label)
+def train(docs: DataFrame, labels: DataFrame, per_class: int = 1500, text: str = "text", id_col: str = "doc_id", label: str = "quality", most: int = 256) -> Model:
+    """A model from at most ``per_class`` documents of each label and ``most`` passages of each. Classes are drawn apart, so the score's level is set back to the labels' own share."""
+    bags, y = labelled_sample(docs, labels, per_class, text, id_col, label, most)
     counts = {r.y: r.n for r in labels.filter(F.col(label).isin(0, 1)).groupBy(F.col(label).cast("int").alias("y")).agg(F.count("*").alias("n")).collect()}
     model = fit(bags, y)
     if model.p is not None:
