@@ -175,6 +175,36 @@ def test_classifier_with_odd_rows(spark, odd, odd_rows, none):
     assert {r.score for r in quality.classify(odd, labels.filter("doc_id = 4")).collect()} == {1.0}
 
 
+def test_ids_of_any_type(spark, odd):
+    labels = spark.createDataFrame([("4", 1), ("7", 0), ("100", 0)], "doc_id string, quality int")
+    named = odd.withColumn("doc_id", F.col("doc_id").cast("string"))
+    assert quality.classify(named, labels).count() == odd.count()
+    bags, y = quality.labelled_sample(named, labels, 10, "text", "doc_id", "quality", most=50)
+    assert len(bags) == 3 and sorted(y) == [0, 0, 1] and max(len(b) for b in bags) == 50  # the long document gives 50 of its passages
+
+
+def test_stages_with_odd_rows(spark, odd, none, sf):
+    """Clashing columns keep their values, rows stay whole, no rows give no rows."""
+    columns = Counter(tuple(r) for r in odd.collect())
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        got = stage(spark, odd, sf)
+        assert got.columns == odd.columns and not Counter(tuple(r) for r in got.collect()) - columns, name
+        assert stage(spark, none, sf).count() == 0, name
+    labels = spark.read.parquet(f"{sf}/labels.parquet").filter(~quality.held_out())
+    good = quality.classify(odd.select("doc_id", "text"), labels).filter("score >= 0.7").count()
+    assert corpus_pipeline.good_quality(spark, odd, sf).count() == good
+    assert corpus_pipeline.without_benchmark(spark, odd, sf).count() == odd.count()
+    item = spark.read.parquet(f"{sf}/benchmark.parquet").first().text
+    held = odd.withColumn("text", F.when(F.col("doc_id") == 8, item).otherwise(F.col("text")))
+    assert corpus_pipeline.without_benchmark(spark, held, sf).exceptAll(odd).count() == 0 and corpus_pipeline.without_benchmark(spark, held, sf).filter("doc_id = 8").count() == 0
+    got = corpus_pipeline.without_personal_data(spark, odd, sf)
+    assert got.columns == odd.columns and got.drop("text", "n_chars").exceptAll(odd.drop("text", "n_chars")).count() == 0
+    assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in got.collect()) and corpus_pipeline.without_personal_data(spark, none, sf).count() == 0
+    assert corpus_pipeline.without_personal_data(spark, odd.drop("n_chars"), sf).count() == odd.count()
+    got = corpus_pipeline.token_ids(spark, odd, sf)
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter((r.doc_id, r.text or "") for r in odd.collect()) and corpus_pipeline.token_ids(spark, none, sf).count() == 0
+
+
 def test_passages_cover_the_whole_text():
     assert len(quality.passages("")) == 1 and len(quality.passages("w " * 1000)) == -(-1000 // quality.WORDS)
     a, b = quality.passages("plain words " * 400), quality.passages("plain words " * 399 + "#$%& ODD!!")
