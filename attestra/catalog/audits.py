@@ -8,6 +8,7 @@ from attestra.catalog.registry import query
 from attestra.fixtures import claims, cte, table, view
 from attestra.functions.text import SPACES
 from attestra.operators import audits as A
+from attestra.operators import project_audits as PA
 
 _REVIEWS = """SELECT source AS paper, source AS research_name, 'June 1, 2026' AS review_date, CAST(count(*) * 37 % 1000 AS DOUBLE) / 1000 AS composite_score, source <> 'src3' AS has_screener,
   source <> 'src7' AS has_originality, CAST(count(*) % 9 AS DOUBLE) / 8 AS originality_score, count(*) AS related_works_count, CAST(count(*) % 7 AS DOUBLE) / 8 AS avg_similarity
@@ -111,3 +112,83 @@ def _(spark, d):
 @query("article_document_fitted", _oracle(A.attempts(), 24 * 1024))
 def _(spark, d):
     return A.article_document("paper", *_inputs(spark, d), A.attempts(), 24 * 1024)
+
+
+# --- R3: projects are sources of the driver documents; every document is a chunk and a line ------------------------
+_PROJECTS = """SELECT source AS project, source AS name, CASE source WHEN 'src1' THEN NULL ELSE concat('Lab ', source) END AS organization, CASE source WHEN 'src2' THEN NULL ELSE concat('7_', source) END AS item_id,
+  'June 1, 2026' AS review_date, count(*) % 101 AS composite_score, source <> 'src4' AS has_token, CAST(count(*) % 2 AS INT) AS markets, CASE source WHEN 'src5' THEN 'Anon' ELSE 'A. Person' END AS research_lead
+  FROM {documents} WHERE source IS NOT NULL GROUP BY source"""
+_PROJECT_LINES = """SELECT source_path AS project, line_id AS seq, CAST(line_id AS VARCHAR(20)) AS line_id, line_id AS chunk_id, source_kind, CASE WHEN lang IN ('en', 'fr') THEN concat(lang, '.org') END AS domain,
+  CASE WHEN lang <> 'en' THEN concat(lang, ' file') END AS doc_title, nullif(verdict, 'neutral') AS verdict, text, CASE line_id % 3 WHEN 0 THEN text WHEN 1 THEN concat(' ', source_path, ' said ') END AS verbatim_quote,
+  CASE WHEN line_id % 4 > 0 THEN concat(' of ', lang) END AS rationale, category, line_type, CAST(line_id % 8 AS DOUBLE) / 8 AS weight, CASE WHEN line_id % 5 > 0 THEN CAST(line_id % 7 AS DOUBLE) / 8 END AS effective_weight,
+  line_id % 3 AS cluster_size FROM {lines}"""
+#: Cited work j = 1, 2 of a line and what is known of it.
+_PAPER = "concat('W', CAST(seq * {j} % 40 AS VARCHAR(20)))"
+_KNOWN = (("openalex_id", _PAPER), ("title", "CASE WHEN seq % 6 > 0 THEN concat('Paper ', CAST(seq AS VARCHAR(20))) END"), ("year", "CAST(CASE WHEN seq % 5 > 0 THEN 2000 + seq % 20 END AS INT)"), ("cited_by_count", "CAST(seq % 9 AS INT)"))
+
+
+def _project_oracle(per_source: int, page: str) -> str:
+    part = lambda s, source: s.replace("{" + source + "}", source)
+    listed = "[" + ", ".join(_q(v) for v in PA.LISTED) + "]"
+    two = lambda x: f"printf('%.2f', coalesce({x}, 0)::DOUBLE)"
+    prefix = "CASE source_kind WHEN 'image_caption' THEN 'image' WHEN 'video_transcript' THEN 'video' WHEN 'text_doc' THEN 'text' ELSE source_kind END"
+    source = f"CASE WHEN source_kind = 'onchain_fact' THEN 'onchain' WHEN source_kind = 'crawl_md' AND domain IS NOT NULL THEN 'crawl::' || domain ELSE {prefix} || '::' || coalesce(doc_title, '') END"
+    item = f"{_q(page)} || coalesce('ipnft/' || item_id, '')"
+    label = ("CASE WHEN kind = 'crawl_md' AND domain IS NOT NULL THEN domain WHEN kind = 'onchain_fact' THEN 'IPNFT on-chain profile' WHEN kind = 'pdf' THEN 'Dataroom PDF · ' || coalesce(title, 'PDF') "
+             "WHEN kind = 'image_caption' THEN 'Dataroom image · ' || coalesce(title, 'image') WHEN kind = 'video_transcript' THEN 'Dataroom video · ' || coalesce(title, 'video') "
+             "WHEN kind = 'text_doc' THEN 'Dataroom file · ' || coalesce(title, '') WHEN domain IS NOT NULL THEN domain ELSE coalesce(title, kind) END")
+    url = f"CASE WHEN domain IS NOT NULL AND kind NOT IN ('onchain_fact', 'pdf', 'image_caption', 'video_transcript', 'text_doc') THEN 'https://' || domain || '/' ELSE {item} END"
+    place = "CASE " + " ".join(f"WHEN starts_with(source, {_q(p)}) THEN {i}" for i, p in enumerate(PA.SOURCE_ORDER)) + f" ELSE {len(PA.SOURCE_ORDER)} END"
+    trimmed = lambda x: f"trim(coalesce({x}, ''), {_q(SPACES)})"
+    mark = "CASE WHEN verdict IN ('valid', 'positive') THEN '✅' WHEN verdict = 'inconclusive' THEN '❓' ELSE '❌' END"
+    line = _joined(f"'- ' || {mark} || ' **' || verdict || '** · `#' || line_id || '` · _' || replace(category, '_', ' ') || ' · ' || line_type || ' · weight ' || {two('weight')} || ' → eff ' || {two('coalesce(effective_weight, weight)')}"
+                   " || CASE WHEN cluster_size > 1 THEN ' · cluster ×' || cluster_size ELSE '' END || '_ — ' || said", "CASE WHEN quote <> '' AND lower(quote) <> lower(said) THEN '    > ' || quote END",
+                   "CASE WHEN len(citations) > 0 THEN '    Supporting literature: ' || list_aggregate(list_transform(citations, lambda w: '[' || w || '](https://openalex.org/' || w || ')'), 'string_agg', ', ') END",
+                   "CASE WHEN why <> '' THEN '    *Validator note:* ' || why END")
+    head = _joined(f"'### ' || {label}", "''", f"'**Link:** [' || {url} || '](' || {url} || ')  '", "'**Chunks read:** ' || chunks || ' · **Lines extracted:** ' || n || ' · **Verdicts:** ' || verdicts", "''",
+                   f"CASE WHEN listed = 0 THEN {_q(PA.NO_VERDICTS)} || chr(10) ELSE shown || chr(10) || CASE WHEN listed > {per_source} THEN '- _… ' || (listed - {per_source}) || ' additional scored line(s) omitted._' || chr(10) ELSE '' END END")
+    top = _joined("'# Evidence audit · ' || name", "''", "'**Organization:** ' || coalesce(organization, 'Unknown') || '  '", f"CASE WHEN item_id IS NOT NULL THEN '**IPNFT page:** [' || {item} || '](' || {item} || ')  ' END",
+                  "'**Review date:** ' || review_date || '  '", "'**Composite score:** ' || composite_score || ' / 100  '", "''", _fixed(PA.INTRO), "''", "'---'", "''", "'## At a glance'", "''",
+                  "'- Sources reviewed: **' || sources || '**'", "'- Lines extracted from those sources: **' || taken || '**'",
+                  "'- Lines that produced a clear verdict: **' || (good + bad) || '** (' || good || ' favorable, ' || bad || ' unfavorable)'", "'- Lines whose science could not be confirmed: **' || unsure || '**'",
+                  "''", "'---'", "''", "'## Category scores'", "''", _fixed(PA.CATEGORY_TABLE))
+    gaps = {"agreements": "len(agreements) = 0", "development": "len(agreements) > 0 AND NOT list_contains(agreements, 'Development Agreement')", "token": "NOT has_token", "markets": "has_token AND markets = 0",
+            "lead": "research_lead = 'Anon'", "pdf": "NOT pdf", "crawl": "NOT crawl", "video": "NOT video"}
+    lacks = "nullif(" + _joined(*[f"CASE WHEN {gaps[k]} THEN {_q('- ' + said)} END" for k, said in PA.GAPS.items()]) + ", '')"
+    body = _joined(top, "cat", "''", _fixed(PA.SCORING), "''", "'---'", "''", "'## Sources reviewed'", "''", _fixed(PA.SOURCES), "''", "src", "'---'", "''", "'## Scientific literature consulted'", "''",
+                   f"coalesce({_fixed((*PA.LITERATURE, '', *PA.WORK_TABLE))} || chr(10) || lit, {_q(PA.NO_CITATIONS)})", "''", "'---'", "''", "'## What''s missing'", "''", f"coalesce({lacks}, {_q(PA.NO_GAPS)})", "''", "'---'", "''",
+                   "'*Generated by the review pipeline.*'", "''")
+    work = "'| [' || substr(coalesce(title, '(unknown)'), 1, 160) || '](https://openalex.org/' || work || ') | ' || coalesce(year::VARCHAR, '—') || ' | ' || coalesce(cited_by_count::VARCHAR, '—') || ' | ' || refs || ' |'"
+    known = ", ".join(f"{x.format(j=1)} AS {name}" for name, x in _KNOWN)
+    return cte("lines") + f""",
+r AS (SELECT *, CASE name WHEN 'src6' THEN CAST([] AS VARCHAR[]) WHEN 'src7' THEN ['Assignment Agreement'] ELSE ['Assignment Agreement', 'Development Agreement'] END AS agreements FROM ({part(_PROJECTS, 'documents')})),
+l AS (SELECT *, {source} AS source, {trimmed('text')} AS said, {trimmed('verbatim_quote')} AS quote, {trimmed('rationale')} AS why, list_position({listed}, verdict) AS place,
+  list_slice([{_PAPER.format(j=1)}, {_PAPER.format(j=3)}], 1, seq % 3) AS citations FROM ({part(_PROJECT_LINES, 'lines')})),
+cats AS (SELECT project, string_agg('| ' || category || ' | ' || pct || ' | ' || {two('a')} || ' / ' || {two('b')} || ' | ' || g || ' / ' || s || ' | ' || n || ' | ' || c || ' |', chr(10) ORDER BY category) AS cat FROM (
+  SELECT project, category, count(*) % 101 AS pct, sum(weight) AS a, sum(coalesce(effective_weight, weight)) AS b, count(*) FILTER (verdict IN ('valid', 'positive')) AS g, count(verdict) AS s, count(*) AS n, count(DISTINCT cluster_size) AS c
+  FROM l GROUP BY project, category) GROUP BY project),
+tops AS (SELECT project, source, string_agg({line}, chr(10) ORDER BY spot) AS shown FROM (SELECT *, row_number() OVER (PARTITION BY project, source ORDER BY place, seq) AS spot FROM l WHERE place > 0) WHERE spot <= {per_source} GROUP BY ALL),
+vs AS (SELECT project, source, string_agg(v || '=' || m, ', ' ORDER BY v) AS verdicts FROM (SELECT project, source, coalesce(verdict, 'neutral') AS v, count(*) AS m FROM l GROUP BY ALL) GROUP BY ALL),
+ss AS (SELECT project, source, count(*) AS chunks, count(*) AS n, count(*) FILTER (place > 0) AS listed, arg_min(source_kind, seq) AS kind, arg_min({{'d': domain, 't': doc_title}}, seq) AS sample FROM l GROUP BY ALL),
+srcs AS (SELECT project, string_agg({head}, chr(10) ORDER BY {place}, source) AS src FROM (SELECT *, sample.d AS domain, sample.t AS title FROM ss) JOIN vs USING (project, source) LEFT JOIN tops USING (project, source) JOIN r USING (project) GROUP BY project),
+tot AS (SELECT project, count(DISTINCT source) AS sources, count(*) AS taken, count(*) FILTER (verdict IN ('valid', 'positive')) AS good, count(*) FILTER (verdict IN ('invalid', 'negative')) AS bad, count(*) FILTER (verdict = 'inconclusive') AS unsure,
+  bool_or(source_kind = 'pdf') AS pdf, bool_or(source_kind = 'crawl_md') AS crawl, bool_or(source_kind = 'video_transcript') AS video FROM l GROUP BY project),
+k AS (SELECT project, seq, {known} FROM l QUALIFY row_number() OVER (PARTITION BY project, openalex_id ORDER BY seq) = 1),
+refs AS (SELECT project, work, string_agg('#' || line_id, ', ' ORDER BY seq, pos) AS refs FROM (SELECT project, seq, line_id, unnest(citations) AS work, generate_subscripts(citations, 1) AS pos FROM l) GROUP BY ALL),
+lits AS (SELECT project, string_agg({work}, chr(10) ORDER BY work) AS lit FROM refs LEFT JOIN (SELECT project, openalex_id AS work, title, year, cited_by_count FROM k) USING (project, work) GROUP BY project),
+t AS (SELECT project, {body} AS text FROM r LEFT JOIN cats USING (project) LEFT JOIN srcs USING (project) LEFT JOIN tot USING (project) LEFT JOIN lits USING (project))
+SELECT project, strlen(text) AS bytes, text FROM t"""
+
+
+@query("project_document", _project_oracle(12, "https://example.org/"))
+def _(spark, d):
+    agreements = F.when(F.col("name") == "src6", F.array().cast("array<string>")).when(F.col("name") == "src7", F.array(F.lit("Assignment Agreement"))).otherwise(F.array(F.lit("Assignment Agreement"), F.lit("Development Agreement")))
+    projects = spark.sql(_PROJECTS, documents=table(spark, d, "documents")).withColumn("agreements", agreements)
+    work = F.struct(*[F.expr(x.format(j=1)).alias(name) for name, x in _KNOWN])
+    lines = spark.sql(_PROJECT_LINES, lines=view(spark, d, "lines")).withColumns({
+        "citations": F.slice(F.array(F.expr(_PAPER.format(j=1)), F.expr(_PAPER.format(j=3))), F.lit(1), (F.col("seq") % 3).cast("int")), "retrieved_works": F.array(work)})
+    own = F.coalesce("effective_weight", "weight")
+    categories = lines.groupBy("project", "category").agg(
+        (F.count("*") % 101).alias("score_pct"), F.sum("weight").alias("numerator"), F.sum(own).alias("denominator"), F.count_if(F.col("verdict").isin("valid", "positive")).alias("raw_numerator"),
+        F.count("verdict").alias("raw_denominator"), F.count("*").alias("line_count"), F.count_distinct("cluster_size").alias("cluster_count")).withColumn("seq", F.lit(0))
+    return PA.project_document("project", projects, categories, lines, lines.select("project"), lines)
