@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from attestra.functions.answers import clean_answer, json_field, parse_bullets, recover_json
 from attestra.functions.columns import as_col, clamp, text_of
-from attestra.functions.text import estimate_tokens
+from attestra.functions.text import estimate_tokens, strip_space
 from attestra.operators.lines import clean_findings, clean_lines, clean_verdicts
 from attestra.session import cut_lineage
 
@@ -170,3 +170,72 @@ def overview(reviews: DataFrame, fn: Model, by: Sequence[str], text: str = "rati
     """Plain-language copy of every text field of long reviews; numbers stay as they are, a failed call keeps the text."""
     a = model_map(reviews, F.col(text), fn, "_a", **kw).drop("prompt_hash")
     return a.withColumn(text, F.coalesce(F.nullif(F.trim(clean_answer("_a")), F.lit("")), F.col(text))).drop("_a")
+
+
+# Article routes, in the order in which a bare answer is searched for them; the text taken without an abstract; a batch of works and its snippets.
+ROUTES = ("empirical", "theoretical_narrative", "protocol")
+ROUTE_CHARS = 6000
+BATCH_WORKS = 25
+SNIPPET_CHARS = 400
+
+
+def route_text(docs: DataFrame, chunks: DataFrame, key: str, pos: str = "chunk_id", text: str = "text", category: str = "semantic_category", limit: int = ROUTE_CHARS) -> DataFrame:
+    """docs with route_text: the abstract's chunks with a blank line between, else the first ``limit`` characters of the text without comments and rules.
+
+    A document's abstract is one row, as large as it is itself. Blank chunks are skipped; repeated chunks stand twice; null texts give "".
+    """
+    said = strip_space(text_of(text))
+    found = chunks.filter(F.col(category) == "abstract").select(key, F.col(pos).alias("_pos"), said.alias("_said")).filter("_said <> ''")
+    joined = found.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_pos", "_said"))), lambda s: s["_said"]), "\n\n").alias("_abstract"))
+    plain = F.replace(F.regexp_replace(text_of(text), r"(?d)<!--.*?-->", ""), F.lit("\n---\n"), F.lit("\n"))
+    return docs.join(joined, key, "left").withColumn("route_text", F.coalesce("_abstract", strip_space(F.substring(plain, 1, limit)))).drop("_abstract")
+
+
+def route_of(answer, routes: Sequence[str] = ROUTES) -> Column:
+    """Route in a model's answer: the article_type of its first flat JSON object, else the first route that the answer names; null where there is none or the object is broken."""
+    answer = text_of(answer)
+    braces = F.regexp_extract(answer, r"(\{[^}]+\})", 1)
+    named = F.lower(strip_space(text_of(F.try_variant_get(F.try_parse_json(braces), "$.article_type", "string"))))
+    bare = F.coalesce(*[F.when(F.contains(F.lower(answer), F.lit(r)), F.lit(r)) for r in routes])
+    return F.when((braces != "") & F.try_parse_json(braces).isNull(), F.lit(None).cast("string")).when(named.isin(*routes), named).otherwise(bare)
+
+
+def route_articles(docs: DataFrame, chunks: DataFrame, fn: Model, key: str = "doc_id", default: str = "empirical", attempts: int = 3, routes: Sequence[str] = ROUTES, text: str = "text", **kw) -> DataFrame:
+    """docs with article_type: the model's route of their abstract or opening; what stays undecided is asked again, at last it is the default.
+
+    Equal texts are asked once in a turn; empty texts are asked like others; null keys have no abstract; no rows give no rows.
+    """
+    todo, done = route_text(docs, chunks, key, text=text), None
+    for _ in range(attempts):
+        answered = model_map(todo, F.concat(F.lit("Classify this document:\n\n"), "route_text"), fn, "_a", **kw).drop("prompt_hash")
+        routed = cut_lineage(answered.withColumn("article_type", route_of("_a", routes)).drop("_a"))
+        good = routed.filter("article_type is not null")
+        done = good if done is None else done.unionByName(good)
+        todo = routed.filter("article_type is null").drop("article_type")
+    return done.unionByName(todo.withColumn("article_type", F.lit(default))).drop("route_text")
+
+
+def score_work_batches(works: DataFrame, papers: DataFrame, fn: Model, key: str, order: str, abstract: str = "abstract", size: int = BATCH_WORKS, snippet: int = SNIPPET_CHARS, default: float = 0.10, **kw) -> DataFrame:
+    """works (key, a unique integer ``order``, title, year, abstract) with work_no and similarity: works of a paper go to the model ``size`` at a time and are answered by their number.
+
+    papers: key and the paper's own abstract. A number answered twice keeps the last answer, also from a later batch; a zero, an unreadable score or
+    none gives the default; scores are held to 0..1 and rounded to two places. Null titles, years and abstracts get a placeholder, papers without
+    an abstract an empty one; works of a null key get the default; no works give no rows. Numbers run through blocks of the order, so no task holds a paper's works.
+    """
+    from attestra.operators.ranking import running
+    numbered = cut_lineage(running(works, [key], order, 1, "work_no"))
+    short = F.when(F.length(abstract) > snippet, F.concat(F.rtrim(F.substring(abstract, 1, snippet)), F.lit(" ..."))).otherwise(F.col(abstract))
+    entry = F.concat(F.lit("\n["), F.col("work_no").cast("string"), F.lit("] "), F.coalesce(F.nullif(text_of("title"), F.lit("")), F.lit("(no title)")), F.lit(" ("), F.coalesce(F.col("year").cast("string"), F.lit("n.d.")),
+                     F.lit(")\n   Abstract: "), F.coalesce(F.nullif(short, F.lit("")), F.lit("(not available)")))
+    # at most ``size`` entries a batch
+    batches = numbered.select(key, F.floor((F.col("work_no") - 1) / size).alias("batch"), "work_no", entry.alias("e")).groupBy(key, "batch").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("work_no", "e"))), lambda s: s["e"]), "\n").alias("entries"))
+    own = papers.select(key, F.col(abstract).alias("_own"))
+    prompt = F.concat(F.lit("PAPER ABSTRACT UNDER REVIEW:\n"), text_of("_own"), F.lit("\n\nRELATED WORKS TO SCORE:\n"), F.col("entries"))
+    answered = model_map(batches.join(own, key, "left"), prompt, fn, "_a", **kw).select(key, "batch", recover_json("_a", "array").alias("_j"))
+    got = answered.select(key, "batch", F.posexplode(F.from_json("_j", "array<struct<index: string, similarity_score: string>>")).alias("pos", "x"))
+    number = F.col("x.similarity_score").try_cast("double")
+    score = F.when((F.coalesce(F.col("x.similarity_score"), F.lit("")) == "") | (number == 0), F.lit(default)).otherwise(clamp(number, 0.0, 1.0))
+    last = got.select(key, F.col("x.index").try_cast("double").cast("long").alias("work_no"), score.alias("s"), "batch", "pos").filter("work_no is not null and s is not null").groupBy(key, "work_no").agg(
+        F.max_by("s", F.struct("batch", "pos")).alias("s"))
+    return numbered.join(last, [key, "work_no"], "left").withColumn("similarity", F.round(F.coalesce("s", F.lit(default)), 2)).drop("s")
