@@ -12,6 +12,7 @@ from attestra.functions import text as T
 from attestra.functions import urls as U
 from attestra.functions.html import html_to_text, strip_tags
 from attestra.functions.similarity import cosine_counts, jaccard, overlap, token_counts
+from attestra.operators import ranking as K
 
 
 def docs(spark, d):
@@ -116,6 +117,23 @@ def _(spark, d):
     return links(spark, d).select("page_id", U.project_id("link").alias("project"), U.handle("link").alias("handle"), U.is_explorer("link").alias("explorer"), U.is_social("link").alias("social"), U.is_ipfs("link").alias("ipfs"))
 
 
+# Links of page_id % 14 = 8 and 11 name a few profiles in two spellings and a few posts, so that both rules find repeats.
+_PROFILE = "CASE WHEN page_id % 14 = 8 AND page_id % 4 = 0 THEN concat('https://nitter.net/H', page_id % 25, '/#top') ELSE link END"
+_POST = "CASE WHEN page_id % 14 = 11 THEN concat('https://nitter.net/h', page_id % 9, '/status/', page_id % 6, '#m') ELSE link END"
+
+
+@query("distinct_handles", f"""WITH {LINK_CTE} SELECT CASE WHEN page_id % 4 = 0 THEN 'H' ELSE 'h' END || (page_id % 25) AS handle, page_id AS first,
+  'https://nitter.net/' || CASE WHEN page_id % 4 = 0 THEN 'H' || (page_id % 25) ELSE '@h' || (page_id % 25) || '/media' END AS link
+  FROM l WHERE page_id % 14 = 8 QUALIFY row_number() OVER (PARTITION BY page_id % 25 ORDER BY page_id) = 1""")
+def _(spark, d):
+    return K.distinct_handles(links(spark, d).withColumn("link", F.expr(_PROFILE)), "link", "page_id")
+
+
+@query("distinct_posts", f"WITH {LINK_CTE} SELECT page_id FROM l QUALIFY page_id % 14 <> 11 OR row_number() OVER (PARTITION BY page_id % 14 = 11, page_id % 6 ORDER BY page_id) = 1")
+def _(spark, d):
+    return K.distinct_posts(links(spark, d).withColumn("link", F.expr(_POST)), "link", ["page_id"]).select("page_id")
+
+
 @query("rewrite_url", f"""WITH {LINK_CTE} SELECT page_id, CASE page_id % 14 WHEN 1 THEN 'https://nitter.net/user' || (page_id % 30) ELSE trim(link) END AS mirror, CASE page_id % 14 WHEN 2 THEN 'https://ipfs.io/ipfs/Qm' || page_id ELSE trim(link) END AS probe,
   CASE page_id % 14 WHEN 5 THEN 'https://mint.molecule.to/ipnft/' || (page_id % 20) END AS page, CASE WHEN page_id % 14 = 2 THEN 6 ELSE 0 END AS gateways, CASE page_id % 14 WHEN 9 THEN 'https://docs.example.org/a%20b/' || page_id || '.pdf?q=1#f' END AS pdf,
   'https://site.test/post/' || page_id || '/post' AS post FROM l""")

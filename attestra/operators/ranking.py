@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from attestra.functions.columns import as_col, lookup
+from attestra.functions.urls import handle
 from attestra.session import cut_lineage
 
 
@@ -138,3 +139,22 @@ def pick_shuffled(items: DataFrame, key, seed: int, limit: int) -> DataFrame:
 
 def batches(df: DataFrame, by: Sequence[str], order: str, n: int, name: str = "batch") -> DataFrame:
     return number_rows(df, order, by, start=0, name=name).withColumn(name, F.floor(F.col(name) / n))
+
+
+def distinct_handles(links: DataFrame, url: str, order: str, by: Sequence[str] = ()) -> DataFrame:
+    """by, handle, link, first: every profile once whatever its letters' case, as its first link writes it; a link loses its fragment and closing slashes.
+
+    Partial minima go before the shuffle, so a profile linked by a third of all rows costs one row a task. Null links and those without a profile are
+    left out; of rows with one order value the least handle and link count; no rows give no rows.
+    """
+    name = handle(url)
+    plain = F.rtrim(F.substring_index(F.trim(F.col(url)), "#", 1), F.lit("/"))
+    found = links.select(*by, F.col(order).alias("first"), name.alias("handle"), plain.alias("link")).filter("handle is not null")
+    least = found.groupBy(*by, F.lower("handle").alias("_h")).agg(F.min(F.struct("first", "handle", "link")).alias("x"))
+    return least.select(*by, "x.handle", "x.link", "x.first")
+
+
+def distinct_posts(posts: DataFrame, url: str, order_by: Sequence, by: Sequence[str] = ()) -> DataFrame:
+    """Rows of posts, of those with one post number (within by) the first only; rows without a number all pass and are not shuffled."""
+    number = F.nullif(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"/status/(\d+)", 1), F.lit(""))
+    return posts.filter(number.isNull()).unionByName(first_rows(posts.filter(number.isNotNull()), [*by, number], order_by))
