@@ -435,3 +435,10 @@ def _(spark, d):
 @query("norm_name", "SELECT doc_id, trim(regexp_replace(lower(text), '\\s+', ' ', 'g')) AS name FROM documents")
 def _(spark, d):
     return table(spark, d, "documents").select("doc_id", norm_name("text").alias("name"))
+
+
+@query("label_excerpts", """SELECT source, excerpt, min(doc_id) AS first, arg_min(pos, doc_id * 10 + pos)::INTEGER AS pos FROM (
+  SELECT source, doc_id, 0 AS pos, substr(text, 1, 2000) AS excerpt FROM documents WHERE trim(text) <> '' UNION ALL SELECT source, doc_id, 1, substr(lang, 1, 2000) FROM documents WHERE trim(lang) <> '') GROUP BY source, excerpt""")
+def _(spark, d):
+    labels = table(spark, d, "documents").select("source", "doc_id", F.array("text", "lang").alias("texts"))
+    return M.distinct_excerpts(labels, ["source"], "doc_id", "texts")

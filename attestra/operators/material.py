@@ -326,3 +326,14 @@ def rank_synonyms(names: DataFrame, by: Sequence[str], name: str, primary: str,
     lacks = F.when((token != "") & F.contains(F.lower("synonym"), token), 0).otherwise(1)
     registry = F.when(F.col("synonym").rlike(r"^\d{2,7}-\d{2}-\d$"), 1).otherwise(0)
     return first_rows(unique, by, [lacks, registry, F.length("synonym"), as_col(order)], k, "rank")
+
+
+def distinct_excerpts(labels: DataFrame, by: Sequence[str], order: str, texts: str, size: int = 2000) -> DataFrame:
+    """by, excerpt, first, pos: the distinct openings (``size`` characters) of the label texts (an array column), each with the label and place of its first.
+
+    The opening is the excerpt itself, so texts that differ only beyond it are one. Minima go before the shuffle, so an excerpt that a third of
+    all labels repeat costs one row a task. Null, empty and blank texts are left out; null groups are a group; no rows give no rows.
+    """
+    parts = labels.select(*by, F.col(order).alias("first"), F.posexplode(texts).alias("pos", "_t")).filter(F.trim("_t") != "")
+    least = parts.groupBy(*by, F.substring("_t", 1, size).alias("excerpt")).agg(F.min(F.struct("first", "pos")).alias("x"))
+    return least.select(*by, "excerpt", "x.first", "x.pos")

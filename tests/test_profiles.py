@@ -1,5 +1,6 @@
-"""Distinct profiles and posts on odd rows."""
+"""Distinct profiles, posts and label excerpts on odd rows."""
 
+from attestra.operators.material import distinct_excerpts
 from attestra.operators.ranking import distinct_handles, distinct_posts
 
 LINKS = [(1, "p", "https://nitter.net/Lab/"), (2, "p", "https://www.nitter.net/@lab#x"), (3, "p", " https://nitter.net/Other/media#f "), (4, "q", "https://nitter.net/LAB"), (5, "p", None), (6, "p", ""),
@@ -16,3 +17,11 @@ def test_profiles_and_posts(spark):
     assert ids(distinct_posts(df, "url", ["id"])) == [1, 2, 3, 4, 4, 5, 6, 7, 8, 9, 12]
     assert ids(distinct_posts(df, "url", ["id"], ["project"])) == [1, 2, 3, 4, 4, 5, 6, 7, 8, 9, 10, 12]
     assert distinct_handles(df.filter("false"), "url", "id").count() == distinct_posts(df.filter("false"), "url", ["id"]).count() == 0
+
+
+def test_excerpts(spark):
+    rows = [(2, "a", ["xx1", None, " ", "y"]), (1, "a", ["z", "xx2"]), (1, "a", ["z", "xx2"]), (3, None, ["xx1", ""]), (4, "a", None), (5, "a", [])]
+    df = spark.createDataFrame(rows, "id int, name string, texts array<string>").repartition(4)
+    got = {(r.name, r.excerpt, r.first, r.pos) for r in distinct_excerpts(df, ["name"], "id", "texts", 2).collect()}
+    assert got == {("a", "xx", 1, 1), ("a", "z", 1, 0), ("a", "y", 2, 3), (None, "xx", 3, 0)}
+    assert distinct_excerpts(df.filter("false"), ["name"], "id", "texts").count() == 0
