@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import json
 import operator
+import re
 from collections.abc import Mapping, Sequence
 
 import pandas as pd
@@ -79,9 +80,17 @@ TOPICS = {
 }
 
 
-def matches(text: Column, pattern: str) -> Column:
-    """Any-case search with Unicode word classes."""
-    return text.rlike("(?iU)" + pattern)
+# An edge of an ASCII word (\w is ASCII without the flag U), and the letters that any-case search takes for s and k, as in the regular expressions of SQL engines on RE2.
+ASCII_EDGE = r"(?:(?<!\w)(?=\w)|(?<=\w)(?!\w))"
+ASCII_FOLDS = {"s": "[s\u017f]", "k": "[k\u212a]"}
+
+
+def matches(text: Column, pattern: str, ascii_words: bool = False) -> Column:
+    """Any-case search with Unicode word classes; with ``ascii_words`` any other letter ends a word, so "ci\u00f3nad" holds the word "nad"."""
+    if not ascii_words:
+        return text.rlike("(?iU)" + pattern)
+    folded = re.sub(r"(?<!\\)[sk]", lambda m: ASCII_FOLDS[m[0].lower()], pattern, flags=re.IGNORECASE)
+    return text.rlike("(?i)" + folded.replace(r"\b", ASCII_EDGE))
 
 
 def _without(value, ignored):
@@ -186,5 +195,5 @@ def passes_risk(text: Column, source_type="source_type", tag="risk_relevance", p
         (tag == "toxicity_or_adverse_signal", toxic)), F.lit(False))
 
 
-def topic_label(text: Column, topics: Sequence[tuple[str, str]]) -> Column:
-    return case(*[(matches(text, p), label) for label, p in topics], default="other")
+def topic_label(text: Column, topics: Sequence[tuple[str, str]], ascii_words: bool = False) -> Column:
+    return case(*[(matches(text, p, ascii_words), label) for label, p in topics], default="other")
