@@ -120,14 +120,14 @@ def rule_text(source_type="source_type", content_json="content_json", payload_js
         plain_json(content_json), plain_json(payload_json) if payload_json is not None else F.lit("null"))
 
 
-def pattern_hits(text: Column, patterns: Mapping[str, str] = PATTERNS, stems: Mapping[str, Sequence[Sequence[str]]] = STEMS) -> Column:
+def pattern_hits(text: Column, patterns: Mapping[str, str] = PATTERNS, stems: Mapping[str, Sequence[Sequence[str]]] = STEMS, ascii_words: bool = False) -> Column:
     """struct of one boolean per pattern: every pattern runs once per row, and only where the text holds letters it needs."""
     holds = lambda t, words: functools.reduce(operator.or_, (F.contains(t, F.lit(w)) for w in words))
 
     def flags(x: Column) -> Column:
         low, raw = x["low"], x["raw"]
         able = {k: functools.reduce(operator.and_, (holds(low, g) for g in stems[k])) | holds(raw, FOLDED) if k in stems else F.lit(True) for k in patterns}
-        return F.struct(*[F.when(able[k], matches(raw, p)).when(raw.isNotNull(), F.lit(False)).alias(k) for k, p in patterns.items()])
+        return F.struct(*[F.when(able[k], matches(raw, p, ascii_words)).when(raw.isNotNull(), F.lit(False)).alias(k) for k, p in patterns.items()])
 
     return F.get(F.transform(F.array(F.struct(F.lower(text).alias("low"), text.alias("raw"))), flags), F.lit(0))
 

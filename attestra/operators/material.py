@@ -100,10 +100,10 @@ def reuse_tags(rows: DataFrame, cache: DataFrame, key: str = "material_key", tag
     return out
 
 
-def apply_rules(rows: DataFrame) -> DataFrame:
-    """Both overrides over the rule text, which is built once per row."""
+def apply_rules(rows: DataFrame, ascii_words: bool = False) -> DataFrame:
+    """Both overrides over the rule text, which is built once per row. ``ascii_words`` as in ``rules.matches``."""
     flags = F.exists(F.map_values(field("content", "longevity_pathway_flags", "map<string,boolean>")), lambda v: v)
-    text = rows.withColumn("_text", rule_text(content_json=F.to_json("content"))).withColumn("_hits", pattern_hits(F.col("_text"))).drop("_text")
+    text = rows.withColumn("_text", rule_text(content_json=F.to_json("content"))).withColumn("_hits", pattern_hits(F.col("_text"), ascii_words=ascii_words)).drop("_text")
     hits = {k: F.col(f"_hits.{k}") for k in PATTERNS}
     longevity = longevity_override(hits, "source_type", "longevity_relevance", flags)
     return text.withColumns({"_l": longevity, "_r": risk_override(hits, "source_type", "risk_relevance")}).withColumns(
