@@ -176,17 +176,17 @@ def risk_override(hit: Mapping[str, Column], source_type, current) -> Column:
         default=merged)
 
 
-def passes_longevity(text: Column, tag="longevity_relevance", patterns: Mapping[str, str] = PATTERNS) -> Column:
+def passes_longevity(text: Column, tag="longevity_relevance", patterns: Mapping[str, str] = PATTERNS, ascii_words: bool = False) -> Column:
     tag = as_col(tag)
-    context, oncology = matches(text, patterns["aging_context"]), matches(text, patterns["oncology"])
+    context, oncology = matches(text, patterns["aging_context"], ascii_words), matches(text, patterns["oncology"], ascii_words)
     return F.coalesce(F.when(tag == "indirect_longevity_mechanism", context).when(tag == "direct_longevity", context | ~oncology), F.lit(False))
 
 
-def passes_risk(text: Column, source_type="source_type", tag="risk_relevance", patterns: Mapping[str, str] = PATTERNS) -> Column:
+def passes_risk(text: Column, source_type="source_type", tag="risk_relevance", patterns: Mapping[str, str] = PATTERNS, ascii_words: bool = False) -> Column:
     tag, source = as_col(tag), text_of(source_type)
-    off_topic = matches(text, patterns["oncology"]) & ~matches(text, patterns["aging_context"])
+    off_topic = matches(text, patterns["oncology"], ascii_words) & ~matches(text, patterns["aging_context"], ascii_words)
     assay = source.isin(*ASSAY_SOURCES)
-    strong = matches(text, patterns["human_safety"]) | matches(text, patterns["interaction"])
+    strong = matches(text, patterns["human_safety"], ascii_words) | matches(text, patterns["interaction"], ascii_words)
     literature = source.isin("clinical_trials", "europe_pmc") | F.startswith(source, F.lit("openalex"))
     toxic = case((assay, F.lit(False)), (source.isin(*LABEL_SOURCES), F.lit(True)), (strong, F.lit(True)), (off_topic, F.lit(False)), default=literature)
     return F.coalesce(case(
