@@ -17,7 +17,7 @@ def odd(tmp_path_factory):
     return str(at)
 
 
-@pytest.mark.parametrize("name", ["topic_labels_longevity", "topic_labels_risk", "relevance_overrides", "export_filters"])
+@pytest.mark.parametrize("name", ["topic_labels_longevity", "topic_labels_risk", "relevance_overrides", "export_filters", "union_axes_counts"])
 def test_same_rows_as_sql(spark, odd, name):
     con = duckdb.connect()
     con.execute(f"create view documents as select * from '{odd}/documents.parquet'")
