@@ -66,6 +66,18 @@ def markdown_documents(files: DataFrame, path: str, text: str, order: Sequence,
     return first.select(*by, path, stem.alias("stem"), F.when(F.contains(stem, F.lit(".")), stem).otherwise("").alias("domain"), strip_front_matter(text).alias("text")).filter(F.trim("text") != "")
 
 
+def pack_markdown(docs: DataFrame, stem: str, text: str, at: str) -> None:
+    """Writes markdown documents with their paths, many to a file: a folder of one small file each costs a directory, a commit and a listed status a document, all of them through the driver."""
+    path = F.concat(F.lit("stem="), F.col(stem).cast("string"), F.lit("/"), F.col(stem).cast("string"), F.lit(".md"))
+    docs.select(path.alias("path"), F.col(text).alias("text")).write.parquet(at)
+
+
+def read_packed(spark: SparkSession, at: str) -> DataFrame:
+    """The documents that ``pack_markdown`` wrote, by the rules of files; a null text is an empty file."""
+    packed = spark.read.schema("path string, text string").parquet(at)
+    return markdown_documents(packed.select("path", text_of("text").alias("text")), "path", "text", ["path"])
+
+
 def read_markdown(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
     return markdown_documents(files, "path", "text", ["path"])

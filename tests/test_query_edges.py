@@ -2,7 +2,10 @@
 
 import duckdb
 
+from pyspark.sql import functions as F
+
 from attestra.catalog import ORACLES, QUERIES
+from attestra.sources import records as R
 from tools_check import digest
 
 
@@ -20,3 +23,13 @@ def test_scores_of_papers_with_many_works(spark, tmp_path):
     assert same(spark, tmp_path, "score_work_batches", {
         "embeddings": "SELECT range AS vec_id, [0.5] AS embedding FROM range(9000)",
         "documents": "SELECT range AS doc_id, 'text ' || range AS text, 'en' AS lang, 'a' AS source, 1 AS n_chars FROM range(40)"})
+
+
+def test_markdown_goes_many_documents_to_a_file(spark, tmp_path):
+    texts = ["---\na: 1\n---\nbody", " \n", None, "é\r\nx", "tail\n"]
+    docs = spark.createDataFrame([(f"d{i}" if i else "site.org", t) for i, t in enumerate(texts)], "stem string, text string").coalesce(1)
+    at = str(tmp_path / "packed")
+    R.pack_markdown(docs, "stem", "text", at)
+    got = {r.stem: (r.domain, r.text) for r in R.read_packed(spark, at).collect()}
+    assert got == {"site.org": ("site.org", "body"), "d1": ("", " \n"), "d3": ("", "é\r\nx"), "d4": ("", "tail\n")}
+    assert spark.read.parquet(at).select(F.input_file_name()).distinct().count() == 1
