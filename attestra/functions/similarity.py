@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import difflib
+from bisect import bisect_left
+from collections.abc import Mapping, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from attestra.functions.columns import as_col
 
@@ -46,7 +45,50 @@ def cosine_vectors(a, b) -> Column:
     return F.coalesce(F.try_divide(dot(a, b), F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))), F.lit(0.0))
 
 
-@F.pandas_udf(DoubleType())
-def seq_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Longest-matching-block ratio: no built-in, so an Arrow batch over candidate pairs."""
-    return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)], dtype="float64")
+def places(text: str) -> dict[str, list[int]]:
+    """The places of every character."""
+    out: dict[str, list[int]] = {}
+    for i, c in enumerate(text):
+        out.setdefault(c, []).append(i)
+    return out
+
+
+def seq_reaches(a: str, at_a: Mapping[str, Sequence[int]], b: str, at_b: Mapping[str, Sequence[int]], threshold: float) -> bool:
+    """Whether ``SequenceMatcher(None, a, b).ratio()`` reaches the threshold, by the same blocks; it ends once the parts still open cannot reach it.
+
+    As there, characters that make up over a hundredth of a long ``b`` start no block; only the others' places are walked.
+    """
+    total, popular = len(a) + len(b), len(b) // 100 + 1 if len(b) >= 200 else len(b)
+    if not total:
+        return threshold <= 1.0
+    starts = sorted((i, c) for c, found in at_a.items() if 0 < len(at_b.get(c, ())) <= popular for i in found)
+    matched, left = 0, min(len(a), len(b))
+    todo = [(0, len(a), 0, len(b))]
+    while todo and 2.0 * (matched + left) / total >= threshold:
+        alo, ahi, blo, bhi = todo.pop()
+        left -= min(ahi - alo, bhi - blo)
+        x, y, size, runs, last = alo, blo, 0, {}, -2
+        for n in range(bisect_left(starts, (alo,)), len(starts)):
+            i, c = starts[n]
+            if i >= ahi:
+                break
+            before, runs = runs if i == last + 1 else {}, {}
+            last, found = i, at_b[c]
+            for m in range(bisect_left(found, blo), len(found)):
+                j = found[m]
+                if j >= bhi:
+                    break
+                k = runs[j] = before.get(j - 1, 0) + 1
+                if k > size:
+                    x, y, size = i - k + 1, j - k + 1, k
+        while x > alo and y > blo and a[x - 1] == b[y - 1]:
+            x, y, size = x - 1, y - 1, size + 1
+        while x + size < ahi and y + size < bhi and a[x + size] == b[y + size]:
+            size += 1
+        if size:
+            matched += size
+            for part in ((alo, x, blo, y), (x + size, ahi, y + size, bhi)):
+                if part[0] < part[1] and part[2] < part[3]:
+                    todo.append(part)
+                    left += min(part[1] - part[0], part[3] - part[2])
+    return 2.0 * (matched + left) / total >= threshold

@@ -1,10 +1,14 @@
 """Queries against their SQL on small tables made for cases that the driver tables do not show at their least size."""
 
+import difflib
+import random
+
 import duckdb
 
 from pyspark.sql import functions as F
 
 from attestra.catalog import ORACLES, QUERIES
+from attestra.operators import dedupe as D
 from attestra.sources import records as R
 from tools_check import digest
 
@@ -33,3 +37,21 @@ def test_markdown_goes_many_documents_to_a_file(spark, tmp_path):
     got = {r.stem: (r.domain, r.text) for r in R.read_packed(spark, at).collect()}
     assert got == {"site.org": ("site.org", "body"), "d1": ("", " \n"), "d3": ("", "é\r\nx"), "d4": ("", "tail\n")}
     assert spark.read.parquet(at).select(F.input_file_name()).distinct().count() == 1
+
+
+def test_claims_near_the_abstract_match_the_walk(spark):
+    rnd, rows = random.Random(4), []
+    for i in range(160):
+        text = "".join(rnd.choice("abcde fghij klmno.") for _ in range(rnd.choice([3, 30, 190, 260, 900])))
+        rows.append((i % 3, 2 * i, text, "abstract", "x"))
+        near = list(text)
+        for _ in range(len(text) * (i % 5) // 16):
+            near[rnd.randrange(len(near))] = rnd.choice(["", "z", "ab"])
+        rows.append((i % 3, 2 * i + 1, "".join(near), "other", "Key Messages"))
+    flat = {r[1]: " ".join(r[2].lower().split()) for r in rows}
+    texts = {g: [flat[r[1]] for r in rows if r[0] == g and r[3] == "abstract"] for g in range(3)}
+    want = sorted(i for g, i, t, c, _ in rows if c == "other" and t and any(difflib.SequenceMatcher(None, flat[i], x).ratio() >= 0.85 for x in texts[g]))
+    df = spark.createDataFrame(rows, "g int, claim_id int, claim string, semantic_category string, section_heading string")
+    for size in (200, 7):
+        assert sorted(r.claim_id for r in D.dup_of_abstract(df, ["g"], size=size).collect()) == want
+    assert 10 < len(want) < 150
