@@ -2,8 +2,10 @@
 
 import difflib
 import random
+import time
 
 import duckdb
+import pandas as pd
 
 from pyspark.sql import functions as F
 
@@ -55,3 +57,12 @@ def test_claims_near_the_abstract_match_the_walk(spark):
     for size in (200, 7):
         assert sorted(r.claim_id for r in D.dup_of_abstract(df, ["g"], size=size).collect()) == want
     assert 10 < len(want) < 150
+
+
+def test_lines_of_common_words_are_not_counted_against_every_cluster():
+    rnd, common = random.Random(2), [f"w{i}" for i in range(400)]
+    sets = [rnd.sample(common, 200) for _ in range(1500)]
+    new = pd.DataFrame({"item": range(1500), "cluster": range(1, 1501), "tokens": [dict.fromkeys(s, 1) for s in sets], "size": 0})
+    start = time.process_time()
+    out = D._best_jaccard(0.55)({"g": 1}, new.iloc[:0], new)
+    assert (out.kind == "line").sum() == 1500 and time.process_time() - start < 4
