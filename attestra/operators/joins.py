@@ -21,11 +21,15 @@ def _name_set(df: DataFrame, key: str, names: str) -> DataFrame:
 def match_token_sets(queries: DataFrame, registry: DataFrame, query_key: str, entry_key: str, names: str = "names", hints: int = 8) -> DataFrame:
     """Registry entry whose set of names equals the asked set; none or several are errors, with partial overlaps as hints."""
     q, e = _name_set(queries, query_key, names), _name_set(registry, entry_key, names)
-    exact = q.join(e, "_set", "left").groupBy(query_key).agg(F.count(entry_key).alias("matches"), F.min(entry_key).alias("_entry"))
+    from attestra.operators.ranking import first_rows
+    # entries shrink to one row a set, so a set that many share costs no pair of query and entry
+    sets = e.groupBy("_set").agg(F.count(entry_key).alias("_n"), F.min(entry_key).alias("_e"))
+    exact = q.join(sets, "_set", "left").groupBy(query_key).agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("matches"), F.min("_e").alias("_entry"))
     lost = exact.filter("matches = 0").select(query_key)
     parts = q.join(lost, query_key, "left_semi").select(query_key, F.explode("_set").alias("_n"))
-    near = parts.join(e.select(entry_key, F.explode("_set").alias("_n")), "_n").select(query_key, entry_key).distinct()
-    from attestra.operators.ranking import first_rows
+    # the first entries of a query are among the first of its names
+    named = first_rows(e.select(entry_key, F.explode("_set").alias("_n")).distinct(), ["_n"], [entry_key], hints)
+    near = parts.join(named, "_n").select(query_key, entry_key).distinct()
     hint = first_rows(near, [query_key], [entry_key], hints).groupBy(query_key).agg(F.array_sort(F.collect_list(entry_key)).alias("hints"))
     status = F.when(F.col("matches") == 1, "ok").when(F.col("matches") == 0, "none").otherwise("ambiguous")
     return exact.join(hint, query_key, "left").select(query_key, "matches", F.when(F.col("matches") == 1, F.col("_entry")).alias(entry_key), status.alias("status"), "hints")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from attestra.catalog import ORACLES, QUERIES
 from attestra.operators import dedupe as D
+from attestra.operators.joins import match_token_sets
 from attestra.sources import records as R
 from tools_check import digest
 
@@ -66,3 +67,15 @@ def test_lines_of_common_words_are_not_counted_against_every_cluster():
     start = time.process_time()
     out = D._best_jaccard(0.55)({"g": 1}, new.iloc[:0], new)
     assert (out.kind == "line").sum() == 1500 and time.process_time() - start < 4
+
+
+def test_token_sets_that_many_entries_share(spark):
+    """Forty thousand queries and entries of one set: 1.6 billion pairs, were they joined."""
+    many = spark.range(40000)
+    names = lambda df, key: df.select(F.col("id").alias(key), F.when(F.col("id") < 39990, F.array(F.lit("A "), F.lit("b"))).when(F.col("id") < 39995, F.array(F.lit(f"{key} x"), F.lit("B"))).otherwise(
+        F.array(F.lit(key), F.col("id").cast("string"))).alias("names"))
+    start = time.time()
+    got = {r.q: (r.matches, r.e, r.status, r.hints) for r in match_token_sets(names(many, "q"), names(many, "e"), "q", "e").collect()}
+    assert len(got) == 40000 and all(got[i][:3] == (39990, None, "ambiguous") for i in range(39990))
+    assert all(got[i] == (0, None, "none", list(range(8))) for i in range(39990, 39995)) and all(got[i][:3] == (0, None, "none") for i in range(39995, 40000))
+    assert time.time() - start < 40
