@@ -8,7 +8,6 @@ import operator
 import re
 from collections.abc import Mapping, Sequence
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -105,9 +104,10 @@ def plain_json(content_json: Column | str, ignored: Sequence[str] = IGNORED_KEYS
     """The JSON text without the ignored keys at any depth, keys sorted."""
     drop = frozenset(ignored)
 
-    @F.pandas_udf("string")
-    def strip(values: pd.Series) -> pd.Series:
-        return values.map(lambda v: "null" if v is None else json.dumps(_without(json.loads(v), drop), ensure_ascii=False, sort_keys=True))
+    # row by row: a worker holds a hundred texts at once, where an Arrow batch holds thousands and their parsed copies
+    @F.udf("string", useArrow=False)
+    def strip(value: str | None) -> str:
+        return "null" if value is None else json.dumps(_without(json.loads(value), drop), ensure_ascii=False, sort_keys=True)
 
     return strip(as_col(content_json))
 

@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from attestra.catalog import ORACLES, QUERIES
+from attestra.functions.rules import plain_json
 from attestra.operators import dedupe as D
 from attestra.operators.joins import match_token_sets
 from attestra.sources import records as R
@@ -79,3 +80,9 @@ def test_token_sets_that_many_entries_share(spark):
     assert len(got) == 40000 and all(got[i][:3] == (39990, None, "ambiguous") for i in range(39990))
     assert all(got[i] == (0, None, "none", list(range(8))) for i in range(39990, 39995)) and all(got[i][:3] == (0, None, "none") for i in range(39995, 40000))
     assert time.time() - start < 40
+
+
+def test_rule_texts_go_row_by_row(spark):
+    df = spark.createDataFrame([('{"b": {"meta": 1, "z": "é"}, "a": [1, {"query": 2}]}',), (None,)], "j string").select(plain_json("j").alias("t"))
+    assert [r.t for r in df.collect()] == ['{"a": [1, {}], "b": {"z": "é"}}', "null"]
+    assert "ArrowEvalPython" not in df._jdf.queryExecution().toString()
