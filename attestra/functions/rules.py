@@ -10,6 +10,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from attestra.functions.columns import as_col, case, lookup, text_of
 
@@ -105,7 +106,7 @@ def plain_json(content_json: Column | str, ignored: Sequence[str] = IGNORED_KEYS
     drop = frozenset(ignored)
 
     # row by row: a worker holds a hundred texts at once, where an Arrow batch holds thousands and their parsed copies
-    @F.udf("string", useArrow=False)
+    @F.udf(StringType(), useArrow=False)
     def strip(value: str | None) -> str:
         return "null" if value is None else json.dumps(_without(json.loads(value), drop), ensure_ascii=False, sort_keys=True)
 

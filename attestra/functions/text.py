@@ -5,7 +5,6 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Mapping, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -235,13 +234,13 @@ def section_text(kind: str, text) -> Column:
 
 
 # --- H18 names ------------------------------------------------------------------------------------
-@F.pandas_udf(StringType())
-def _nfkc(values: pd.Series) -> pd.Series:
-    return values.map(lambda v: v if v is None or v.isascii() else unicodedata.normalize("NFKC", v))
+@F.udf(StringType(), useArrow=False)
+def _nfkc(value: str | None) -> str | None:
+    return value if value is None or value.isascii() else unicodedata.normalize("NFKC", value)
 
 
 def norm_name(name) -> Column:
-    """NFKC (no JVM built-in, so an Arrow batch), whitespace collapsed, lower case."""
+    """NFKC (no JVM built-in, so a row at a time in Python, where batches of whole texts would fill a worker), whitespace collapsed, lower case."""
     return F.lower(collapse(_nfkc(text_of(name))))
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from attestra.catalog import ORACLES, QUERIES
 from attestra.functions.rules import plain_json
+from attestra.functions.text import norm_name
 from attestra.operators import dedupe as D
 from attestra.operators.joins import match_token_sets
 from attestra.sources import records as R
@@ -86,3 +87,9 @@ def test_rule_texts_go_row_by_row(spark):
     df = spark.createDataFrame([('{"b": {"meta": 1, "z": "é"}, "a": [1, {"query": 2}]}',), (None,)], "j string").select(plain_json("j").alias("t"))
     assert [r.t for r in df.collect()] == ['{"a": [1, {}], "b": {"z": "é"}}', "null"]
     assert "ArrowEvalPython" not in df._jdf.queryExecution().toString()
+
+
+def test_names_go_row_by_row(spark):
+    df = spark.createDataFrame([("  ﬁsetin \n A",), (None,), ("x",)], "n string").select(norm_name("n").alias("t"))
+    assert [r.t for r in df.collect()] == ["fisetin a", "", "x"]
+    assert "ArrowEvalPython" not in df._jdf.queryExecution().toString()
