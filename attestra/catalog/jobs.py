@@ -232,8 +232,7 @@ def _(spark, d):
 
 @query("rebuild_abstract", "SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS abstract FROM documents WHERE trim(text) <> ''")
 def _(spark, d):
-    pos = docs(spark, d).select("doc_id", F.posexplode(T.words("text")).alias("p", "w")).groupBy("doc_id", "w").agg(F.collect_list("p").alias("ps"))
-    inv = pos.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("w", "ps"))).alias("inv"))
+    inv = docs(spark, d).select("doc_id", T.words("text").alias("ws")).filter("size(ws) > 0").select("doc_id", T.word_places("ws").alias("inv"))
     return inv.select("doc_id", CI.rebuild_abstract("inv").alias("abstract"))
 
 

@@ -59,6 +59,17 @@ def words(text) -> Column:
     return F.filter(F.split(as_col(text), WORD_GAP), lambda w: w != "")
 
 
+def word_places(words) -> Column:
+    """Inverted index of an array of words: word -> its places in ascending order, from 0 on. One sort of the array within its row; null gives null."""
+    pairs = F.sort_array(F.transform(as_col(words), lambda w, i: F.struct(w.alias("w"), i.alias("p"))))
+    first = lambda s, i: ~F.get(s, i - 1)["w"].eqNullSafe(F.get(s, i)["w"])
+    runs = lambda s: F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: first(s, i))
+    # an array of one element binds its value once for the expression that reads it many times
+    bound = F.transform(F.array(pairs), lambda s: F.struct(s.alias("s"), F.when(F.size(s) > 0, runs(s)).otherwise(F.array().cast("array<int>")).alias("at")))
+    entry = lambda x, i, k: F.struct(F.get(x["s"], i)["w"], F.transform(F.slice(x["s"], i + 1, F.coalesce(F.get(x["at"], k + 1), F.size(x["s"])) - i), lambda y: y["p"]))
+    return F.when(as_col(words).isNotNull(), F.get(F.transform(bound, lambda x: F.map_from_entries(F.transform(x["at"], lambda i, k: entry(x, i, k)))), F.lit(0)))
+
+
 def topic_tokens(text) -> Column:
     """Runs of three or more letters or digits, repeats kept."""
     return F.regexp_extract_all(F.lower(as_col(text)), F.lit("([a-z0-9]{3,})"), 1)

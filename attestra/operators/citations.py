@@ -134,7 +134,8 @@ def context_sections(claims: DataFrame, chunks: DataFrame, k: int = 1, budget: i
 def rebuild_abstract(inverted) -> Column:
     """Words of an inverted index (word -> positions) in position order."""
     slots = F.flatten(F.transform(F.map_entries(as_col(inverted)), lambda e: F.transform(e["value"], lambda p: F.struct(p.alias("p"), e["key"].alias("w")))))
-    return F.when(F.size(slots) > 0, F.array_join(F.transform(F.array_sort(slots), lambda s: s["w"]), " "))
+    some = F.exists(F.map_values(as_col(inverted)), lambda p: F.size(p) > 0)
+    return F.when(some, F.array_join(F.transform(F.array_sort(slots), lambda s: s["w"]), " "))
 
 
 def outline(chunks: DataFrame, by: Sequence[str], heading: str, pos: str, text: str) -> DataFrame:
