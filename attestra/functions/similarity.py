@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from attestra.functions.columns import as_col
+from attestra.functions.text import word_places
 
 
 def jaccard(a, b) -> Column:
@@ -24,19 +25,31 @@ def overlap(a, b) -> Column:
     return F.when(least > 0, F.size(F.array_intersect(a, b)) / least).otherwise(0.0)
 
 
+def _products(a: Column, b: Column) -> Column:
+    """Sum of the products of two count maps."""
+    both = F.map_values(F.map_zip_with(a, b, lambda k, x, y: x * y))
+    return F.aggregate(both, F.lit(0).cast("long"), lambda acc, v: acc + F.coalesce(v, F.lit(0)))
+
+
 def token_counts(df: DataFrame, key: str, tokens) -> DataFrame:
-    """Long count vectors: one row per key and token."""
-    return df.select(key, F.explode(as_col(tokens)).alias("token")).groupBy(key, "token").agg(F.count("*").alias("n"))
+    """Count vectors: one row per key with counts, a map token -> number. Rows of one key add up; keys without tokens have an empty map.
+
+    Tokens are counted within their rows, so what moves is one map a row and not a row a token.
+    """
+    own = df.select(key, F.transform_values(word_places(as_col(tokens)), lambda k, v: F.size(v).cast("long")).alias("counts"))
+    add = lambda a, b: F.map_zip_with(a, b, lambda k, x, y: F.coalesce(x, F.lit(0)) + F.coalesce(y, F.lit(0)))
+    all_maps = own.groupBy(key).agg(F.collect_list("counts").alias("_all"))
+    empty = F.create_map().cast("map<string,bigint>")
+    return all_maps.select(key, F.when(F.size("_all") == 1, F.get("_all", F.lit(0))).otherwise(F.aggregate("_all", empty, add)).alias("counts"))
 
 
 def cosine_counts(pairs: DataFrame, counts: DataFrame, key: str, left: str, right: str) -> DataFrame:
-    """Cosine of the count vectors of given pairs; 0 where a side has no tokens."""
-    norm = counts.groupBy(key).agg(F.sqrt(F.sum(F.col("n") * F.col("n"))).alias("norm"))
-    side = lambda df, k, names: df.select(*[F.col(a).alias(b) for a, b in ((key, k), *names)])
-    a = pairs.join(side(counts, left, (("token", "token"), ("n", "_a"))), left)
-    dot = a.join(side(counts, right, (("token", "token"), ("n", "_b"))), [right, "token"]).groupBy(left, right).agg(F.sum(F.col("_a") * F.col("_b")).alias("_dot"))
-    out = pairs.join(dot, [left, right], "left").join(side(norm, left, (("norm", "_x"),)), left, "left").join(side(norm, right, (("norm", "_y"),)), right, "left")
-    return out.select(*pairs.columns, F.coalesce(F.try_divide(F.col("_dot"), F.col("_x") * F.col("_y")), F.lit(0.0)).alias("cosine"))
+    """Cosine of the count vectors (key, counts) of given pairs; 0 where a side has no tokens."""
+    side = lambda k, name: counts.select(F.col(key).alias(k), F.col("counts").alias(name))
+    both = pairs.join(side(left, "_a"), left, "left").join(side(right, "_b"), right, "left")
+    norm = lambda c: F.sqrt(F.aggregate(F.map_values(c), F.lit(0).cast("long"), lambda acc, v: acc + v * v))
+    cosine = F.try_divide(_products(F.col("_a"), F.col("_b")), norm("_a") * norm("_b"))
+    return both.select(*pairs.columns, F.coalesce(cosine, F.lit(0.0)).alias("cosine"))
 
 
 def cosine_vectors(a, b) -> Column:

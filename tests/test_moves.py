@@ -19,3 +19,9 @@ def test_abstracts_of_repeated_ids_and_words(spark, tmp_path):
     rows = [(1, "'b a b  a c'"), (1, "'a second text of one id'"), (2, "'one'"), (3, "' x  x '"), (4, "chr(233) || ' e ' || chr(233)")]
     assert same(spark, tmp_path, "rebuild_abstract", {"documents": docs(rows)})
     assert exploded(spark, tmp_path, "rebuild_abstract") == 0
+
+
+def test_cosines_of_neighbours(spark, tmp_path):
+    rows = [(1, "'one two two three'"), (2, "'two two two four'"), (2, "'two five'"), (3, "'a b'"), (4, "NULL"), (5, "'five five'"), (6, "'FIVE six'")]
+    assert same(spark, tmp_path, "cosine_counts", {"documents": docs(rows)})
+    assert exploded(spark, tmp_path, "cosine_counts") == 0
