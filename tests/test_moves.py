@@ -25,3 +25,35 @@ def test_cosines_of_neighbours(spark, tmp_path):
     rows = [(1, "'one two two three'"), (2, "'two two two four'"), (2, "'two five'"), (3, "'a b'"), (4, "NULL"), (5, "'five five'"), (6, "'FIVE six'")]
     assert same(spark, tmp_path, "cosine_counts", {"documents": docs(rows)})
     assert exploded(spark, tmp_path, "cosine_counts") == 0
+
+
+def thinned(spark, at, name):
+    """Whether exploded rows pass the bit table before they move."""
+    return "getbit" in QUERIES[name](spark, str(at))._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_rows_without_a_partner_do_not_move(spark):
+    from attestra.operators.joins import maybe_met
+    rows, named = spark.range(-5000, 5000).selectExpr("xxhash64(id) AS k", "id"), spark.range(0, 5000, 100).selectExpr("xxhash64(id) AS k")
+    got = {r.id for r in maybe_met(rows.unionByName(spark.sql("SELECT cast(null AS bigint) AS k, 7L AS id")), named, "k").collect()}
+    assert set(range(0, 5000, 100)) <= got and len(got) < 60
+    assert maybe_met(rows, named.limit(0), "k").count() == 0
+
+
+def test_borrowed_citations_meet_on_thinned_seeds(spark, tmp_path):
+    said = "the same long sentence is said by one chunk and by another one of the document"
+    rows = [(1, f"'{said}'"), (5, f"'before {said} after (3, 4)'"), (9, f"'{said.upper()} (12)'"), (12, "'nothing of that kind at all is said here (5)'"), (20, f"'{'x' * 40}'"), (22, f"'{'x' * 50} (8)'")]
+    assert same(spark, tmp_path, "borrow_citations", {"documents": docs(rows)})
+    assert thinned(spark, tmp_path, "borrow_citations")
+
+
+def test_labels_with_aliases_of_any_length(spark, tmp_path):
+    rows = [(10, "'xxalpha beta gamma'"), (11, "'the ALPHA of it'"), (12, "'alph'"), (20, "'qqb       '"), (21, "'ab'"), (30, "'zzxy      and'"), (31, "'a yxyx'"), (33, "NULL")]
+    assert same(spark, tmp_path, "label_matches", {"documents": docs(rows)})
+    assert thinned(spark, tmp_path, "label_matches")
+
+
+def test_first_mentions(spark, tmp_path):
+    rows = docs([(1, "'a thing of much nder'"), (2, "'then Thing again and mentre'"), (3, "'no name'")]) + " UNION ALL SELECT 4, 'one THING more, eaux', 'fr', 'a', 1 UNION ALL SELECT 5, 'lich osas ciado', 'de', 'a', 1"
+    assert same(spark, tmp_path, "name_mentions", {"documents": rows})
+    assert thinned(spark, tmp_path, "name_mentions")
