@@ -11,6 +11,7 @@ from attestra.functions.columns import as_col, case, clamp, contains_any, lit_ar
 from attestra.functions.excerpts import label_sections, snippet
 from attestra.functions.rules import PATTERNS, longevity_override, pattern_hits, risk_override, rule_text
 from attestra.functions.variant import any_field, field, list_field, text_field
+from attestra.operators.joins import maybe_met
 from attestra.operators.ranking import distinct_first, first_rows
 
 # ---- fixed values: keys, sources, weights --------------------------------------------------------
@@ -168,16 +169,24 @@ def label_matches(labels: DataFrame, aliases: DataFrame, key: str, names: Sequen
 
 
 def _contained(texts: DataFrame, needles: DataFrame, key: str, text: str, needle: str, gram: int) -> DataFrame:
-    """Pairs of the same key whose needle lies in the text, met on the needle's first letters."""
+    """Pairs of the same key whose needle lies in the text, met on the needle's first letters.
+
+    Exploded rows are two hashes each, and those that meet no needle go before they move; key and containment are checked on the texts themselves.
+    """
     low = F.lower(F.trim(F.col(needle)))
-    n = needles.select(key, low.alias("_needle")).filter("_needle <> ''").distinct().withColumn("_gram", F.substring("_needle", 1, gram))
+    n = needles.select(key, low.alias("_needle")).filter("_needle <> ''").distinct()
     short = n.filter(F.length("_needle") < gram)
+    met_at = lambda g: F.xxhash64(F.col(key), g)
+    # needles of the first letters' length or longer meet on as many letters as they have, up to twice that
+    long = n.filter(F.length("_needle") >= gram).withColumn("_n", F.least(F.length("_needle"), F.lit(2 * gram)))
+    seeking = long.select(met_at(F.substring("_needle", F.lit(1), F.col("_n"))).alias("_at"), F.col(key).alias("_key"), "_needle")
     t = texts.withColumn("_low", F.lower(F.col(text)))
-    t = t.withColumn("_tid", F.sha2("_low", 256))
-    grams = t.select(key, "_tid", F.explode(F.array_distinct(F.regexp_extract_all("_low", F.lit(rf"(?s)(?=(.{{{gram}}}))"), 1))).alias("_gram"))
-    candidates = grams.hint("merge").join(n.filter(F.length("_needle") >= gram), [key, "_gram"]).select(key, "_tid", "_needle").distinct()
-    met = t.hint("merge").join(candidates, [key, "_tid"]).filter(F.contains("_low", F.col("_needle")))
-    few = t.join(short.drop("_gram"), [key]).filter(F.contains("_low", F.col("_needle")))
+    t = t.withColumn("_tid", F.xxhash64(key, "_low"))
+    grams = F.flatten(F.array(*[F.regexp_extract_all("_low", F.lit(rf"(?s)(?=(.{{{k}}}))"), 1) for k in range(gram, 2 * gram + 1)]))
+    met_rows = t.select("_tid", F.explode(F.array_distinct(F.transform(grams, met_at))).alias("_at"))
+    candidates = maybe_met(met_rows, seeking, "_at").hint("merge").join(seeking, "_at").select("_tid", "_key", "_needle").distinct()
+    met = t.hint("merge").join(candidates, "_tid").filter((F.col(key) == F.col("_key")) & F.contains("_low", F.col("_needle"))).drop("_key")
+    few = t.join(short, [key]).filter(F.contains("_low", F.col("_needle")))
     return met.unionByName(few.select(met.columns))
 
 
