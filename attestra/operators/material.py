@@ -279,15 +279,20 @@ def name_mentions(items: DataFrame, blocks: DataFrame, bundle: str, item: str, s
 
     Tokens and blocks meet on (bundle, first four letters), not on every pair of items.
     """
-    tokens = items.select(bundle, F.col(item).alias("_target"), F.explode(name_tokens(item)).alias("_token")).withColumn("_gram", F.substring("_token", 1, 4))
+    gram = F.substring("_token", 1, 4)
+    tokens = items.select(bundle, F.col(item).alias("_target"), F.explode(name_tokens(item)).alias("_token")).withColumn("_at", F.xxhash64(F.col(bundle), gram))
     low = F.lower(F.col(text))
-    grams = blocks.select(bundle, item, seq, F.explode(F.array_distinct(F.regexp_extract_all(low, F.lit(r"(?s)(?=(.{4}))"), 1))).alias("_gram"))
-    near = grams.hint("merge").join(tokens, [bundle, "_gram"]).filter(F.col(item) != F.col("_target")).select(bundle, item, seq, "_target", "_token").distinct()
+    grams = F.transform(F.array_distinct(F.regexp_extract_all(low, F.lit(r"(?s)(?=(.{4}))"), 1)), lambda g: F.xxhash64(F.col(bundle), g))
+    # letters that start no token of the bundle go before they move
+    seen = maybe_met(blocks.select(bundle, item, seq, F.explode(grams).alias("_at")), tokens, "_at")
+    near = seen.hint("merge").join(tokens, [bundle, "_at"]).filter(F.col(item) != F.col("_target")).select(bundle, item, seq, "_target", "_token").distinct()
     hit = blocks.select(bundle, item, seq, low.alias("_low")).hint("merge").join(near, [bundle, item, seq]).filter(F.contains("_low", F.col("_token")))
     first = hit.groupBy(bundle, F.col("_target").alias("mentioned"), F.col(item).alias("found_in")).agg(
         F.min(F.struct(F.col(seq), F.col("_token"))).alias("_first"))
     at = first.select(bundle, "mentioned", "found_in", F.col(f"_first.{seq}").alias(seq), F.col("_first._token").alias("token"))
-    back = at.join(blocks.select(bundle, F.col(item).alias("found_in"), seq, F.col(text).alias("_text")), [bundle, "found_in", seq])
+    block = F.xxhash64(bundle, "found_in", seq)
+    named = blocks.select(bundle, F.col(item).alias("found_in"), seq, F.col(text).alias("_text")).withColumn("_block", block)
+    back = at.join(maybe_met(named, at.withColumn("_block", block), "_block").drop("_block"), [bundle, "found_in", seq])
     pos = F.instr(F.lower("_text"), F.col("token")) - 1
     start, end = F.greatest(pos - 60, F.lit(0)), F.least(F.length("_text"), pos + 120)
     cut = F.concat(F.when(start > 0, "…").otherwise(""), F.substring("_text", (start + 1).cast("int"), (end - start).cast("int")),
