@@ -1,5 +1,7 @@
 """Queries that moved a row a word: the same results from rows that stay whole, and nothing exploded on its way to an exchange."""
 
+import duckdb
+
 from attestra.catalog import QUERIES
 from test_query_edges import same
 
@@ -57,3 +59,11 @@ def test_first_mentions(spark, tmp_path):
     rows = docs([(1, "'a thing of much nder'"), (2, "'then Thing again and mentre'"), (3, "'no name'")]) + " UNION ALL SELECT 4, 'one THING more, eaux', 'fr', 'a', 1 UNION ALL SELECT 5, 'lich osas ciado', 'de', 'a', 1"
     assert same(spark, tmp_path, "name_mentions", {"documents": rows})
     assert thinned(spark, tmp_path, "name_mentions")
+
+
+def test_sections_are_cut_once(spark, tmp_path):
+    long = "'# H' || chr(10) || repeat('a long section text ', 8)"
+    duckdb.sql(docs([(1, long), (2, long), (3, f"{long} || chr(10) || '## Own' || chr(10) || repeat('another section ', 9)")])).write_parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.kept, r.dropped) for r in QUERIES["dedupe_sections"](spark, str(tmp_path)).collect()}
+    assert got[1][0] > 0 and got[2][0] == 0 and got[3][0] == 1
+    assert exploded(spark, tmp_path, "dedupe_sections") == 0
