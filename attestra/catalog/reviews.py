@@ -11,6 +11,7 @@ from attestra.catalog.jobs import docs
 from attestra.catalog.registry import query
 from attestra.catalog.texts import LINK_CTE, links
 from attestra.fixtures import claims, cte, table, view
+from attestra.functions.text import truncate
 from attestra.operators import gates as G
 from attestra.operators import lines as L
 from attestra.operators import material as M
@@ -18,6 +19,7 @@ from attestra.operators import model as MO
 from attestra.operators import reports as RP
 from attestra.operators import scoring as S
 from attestra.sources import records as R
+from attestra.session import cut_lineage
 from attestra.streaming import rounds as ST
 
 
@@ -387,7 +389,10 @@ def _(spark, d):
 
 @query("fit_audit")
 def _(spark, d):
-    inputs = _audit_inputs(spark, d)
+    # every step reads the inputs twice, so they are made once, with what a line can show: a text cut one character later is cut the same again
+    cats, placed, f, w = _audit_inputs(spark, d)
+    shown = placed.select("paper", "dimension", "bucket", "evidence_grade", truncate("claim", RP.AuditDetail().claim_chars + 1).alias("claim"), "claim_id")
+    inputs = [cut_lineage(x) for x in (cats, shown, f, w.drop("embedding"))]
     return RP.fit_audit(lambda x: RP.article_audit("paper", *inputs, x), "paper").select("paper", "step", F.octet_length("text").alias("bytes"))
 
 

@@ -67,3 +67,16 @@ def test_sections_are_cut_once(spark, tmp_path):
     got = {r.doc_id: (r.kept, r.dropped) for r in QUERIES["dedupe_sections"](spark, str(tmp_path)).collect()}
     assert got[1][0] > 0 and got[2][0] == 0 and got[3][0] == 1
     assert exploded(spark, tmp_path, "dedupe_sections") == 0
+
+
+def test_texts_cut_twice_are_cut_once(spark):
+    from attestra.functions.text import truncate
+    texts = [" " + "word " * n + "\n " * k + "x" * j for n in (0, 1, 4, 5, 9) for k in (0, 2) for j in (0, 1, 3, 8)] + ["a" * n + " " * 3 + "b" for n in range(12, 26)] + [None, ""]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for size in (20, 19, 8, 1):
+        assert df.filter(~truncate(truncate("t", 21), size).eqNullSafe(truncate("t", size))).isEmpty()
+
+
+def test_audit_inputs_are_made_once(spark):
+    plan = QUERIES["fit_audit"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "documents" not in plan and "Relation" not in plan
