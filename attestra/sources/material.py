@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from attestra.functions.columns import lit_array
+
 # ---- fixed values: report block -> (meta row type, meta fields, ((list field, row type), ...)) ---
 BLOCKS = (
     ("europe_pmc", "europe_pmc_query_stats", None, (("articles", "europe_pmc"),)),
@@ -127,15 +129,14 @@ def columnar_cells_to_rows(tables: DataFrame, keep: Sequence[str], table: str =
     v = F.col(table)
     many = F.try_variant_get(v, "$.Table.Columns.Column", "array<string>")
     columns = F.coalesce(many, F.array(F.try_variant_get(v, "$.Table.Columns.Column", "string")))
-    rows = F.coalesce(F.try_variant_get(v, "$.Table.Row", "array<variant>"), F.array(F.try_variant_get(v, "$.Table.Row", "variant")))
-    long = tables.select(*keep, columns.alias("_cols"), F.posexplode(rows).alias("pos", "_row"))
-    cells = F.try_variant_get("_row", "$.Cell", "array<string>")
-    width = F.least(F.size("_cols"), F.size(cells))
-    named = F.map_from_arrays(F.slice("_cols", F.lit(1), width), F.slice(cells, F.lit(1), width))
-    out = long.filter(cells.isNotNull()).select(*keep, "pos", named.alias("_m"))
-    got = lambda k: F.try_element_at("_m", F.lit(k))
-    return out.select(*keep, "pos", got("AID").try_cast("long").alias("aid"), F.coalesce(F.nullif(got("Assay Name"), F.lit("")), got("AssayName"), F.lit("")).alias("title"),
-                      got("Assay Type").alias("assay_type")).filter("aid IS NOT NULL")
+    row = "struct<Cell: array<string>>"
+    rows = F.coalesce(F.try_variant_get(v, "$.Table.Row", f"array<{row}>"), F.array(F.try_variant_get(v, "$.Table.Row", row)))
+    # columns are placed once a table; a row takes its cells by place, those it does not have are null
+    names = ("AID", "Assay Name", "AssayName", "Assay Type")
+    long = tables.select(*keep, columns.alias("_cols"), rows.alias("_rows")).select(
+        *keep, F.transform(lit_array(names), lambda n: F.array_position("_cols", n).cast("int") - 1).alias("_at"), F.posexplode("_rows").alias("pos", "_row"))
+    got = lambda i: F.get("_row.Cell", F.get("_at", F.lit(i)))
+    return long.select(*keep, "pos", got(0).try_cast("long").alias("aid"), F.coalesce(F.nullif(got(1), F.lit("")), got(2), F.lit("")).alias("title"), got(3).alias("assay_type")).filter("aid IS NOT NULL")
 
 
 def slim_studies(studies: DataFrame, study: str = "study", keep: Sequence[str] = ()) -> DataFrame:

@@ -80,3 +80,17 @@ def test_texts_cut_twice_are_cut_once(spark):
 def test_audit_inputs_are_made_once(spark):
     plan = QUERIES["fit_audit"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "documents" not in plan and "Relation" not in plan
+
+
+def test_assay_cells_by_place(spark):
+    from pyspark.sql import functions as F
+
+    from attestra.sources.material import columnar_cells_to_rows
+    tables = [
+        (1, '{"Table": {"Columns": {"Column": ["AID", "Assay Name", "Assay Type", "Assay Name"]}, "Row": [{"Cell": ["7", "", "x", "z"]}, {"Cell": ["8", "n"]}, {"Cell": 5}, 3, {"Cell": ["no", "n"]}]}}'),
+        (2, '{"Table": {"Columns": {"Column": ["AssayName", "AID"]}, "Row": {"Cell": ["one", 9, "more"]}}}'),
+        (3, '{"Table": {"Columns": {"Column": "AID"}, "Row": [{"Cell": ["4"]}, {"Cell": []}]}}'),
+        (4, '{"Table": {"Columns": {}}}')]
+    df = spark.createDataFrame(tables, "cid int, j string").select("cid", F.parse_json("j").alias("table"))
+    got = sorted(tuple(r) for r in columnar_cells_to_rows(df, ["cid"]).collect())
+    assert got == [(1, 0, 7, "", "x"), (1, 1, 8, "n", None), (2, 0, 9, "one", None), (3, 0, 4, "", None)]
