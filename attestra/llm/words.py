@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import struct
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -17,6 +19,24 @@ FAST, EXACT = re.compile(r" ?\S+|\s+(?!\S)|\s"), re.compile(f" ?[^{SPACE}]+|[{SP
 PLAIN = re.compile(r"( ?)([A-Za-zÀ-ÖØ-öø-ÿ]*)([.,;:!?*$%&#|<>()\[\]{}/\\\"+=~^_`@-]*)")
 
 
+class Known(dict):
+    """word -> codes, for up to ``keep`` words: when half as many are in, they become the old ones, from which words still in use come back."""
+
+    def __init__(self, codes: Callable[[str], bytes], keep: int):
+        super().__init__()
+        self.codes, self.half, self.old = codes, max(1, keep // 2), {}
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= self.half:
+            self.old = dict(self)
+            self.clear()
+        got = self.old.get(word)
+        if got is None:
+            got = self.codes(word)
+        self[word] = got
+        return got
+
+
 class Words:
     """One tokenizer file in one Python worker. ``ids(word)`` is remembered for up to ``keep`` words."""
 
@@ -26,8 +46,8 @@ class Words:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.keep = keep
-        self.known: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.known = Known(self.packed, keep)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.lower = self.tokenizer.normalizer is not None
@@ -45,34 +65,35 @@ class Words:
 
     def pieces(self, word: str) -> list[int]:
         """Codes of one word. Latin words go to the merges directly, all others through the whole tokenizer."""
+        return list(struct.unpack(f"<{len(got := self.packed(word)) // 4}I", got))
+
+    def packed(self, word: str) -> bytes:
+        """The codes of one word; letters before signs are looked up by themselves, as other words have them too."""
         m = PLAIN.fullmatch(word)
         if m is None or not (m[2] or m[3]):
-            return self.encode(word)
+            got = self.encode(word)
+            return struct.pack(f"<{len(got)}I", *got)
         blank, letters, signs = m.groups()
         if self.lower:
             blank, letters = "", letters.lower()
-        first, second = (blank + letters, signs) if letters else ("", blank + signs)
-        out = []
-        for piece in (first, second):
-            if piece:
-                out += [t.id for t in self.tokenizer.model.tokenize(piece.encode().decode("latin-1").translate(self.byte))]
-        return out
+        first = blank + (letters or signs)
+        if letters and signs:
+            return self.known[first] + self.known[signs]
+        if first != word:
+            return self.known[first]
+        plain = first if first.isascii() and not blank else first.encode().decode("latin-1").translate(self.byte)
+        got = [t.id for t in self.model.tokenize(plain)]
+        return struct.pack(f"<{len(got)}I", *got)
 
     def ids(self, word: str) -> bytes:
         """Codes as little-endian unsigned 32-bit integers."""
-        got = self.known.get(word)
-        if got is None:
-            if len(self.known) >= self.keep:
-                self.known.clear()
-            got = self.known[word] = np.array(self.pieces(word), "<u4").tobytes()
-        return got
+        return self.known[word]
 
     def text_ids(self, text: str) -> bytes:
         """Codes of a whole text for a file that drops white space: the words between white space, each by itself."""
         if EXTRA.search(text) or any(s in text for s in self.special):
             return np.array(self.encode(text), "<u4").tobytes()
-        ids = self.ids
-        return b"".join([ids(w) for w in text.split()])
+        return b"".join(map(self.known.__getitem__, text.split()))
 
 
 def byte_letters() -> dict[int, str]:
