@@ -122,10 +122,11 @@ def context_sections(claims: DataFrame, chunks: DataFrame, k: int = 1, budget: i
     kind = F.when(F.col(claim_type).isin(*hints), F.col(claim_type)).otherwise(F.lit(""))
     own = claims.select(F.col(claim_id).alias("_claim"), F.col(doc).alias("_doc"), F.col(source).alias("_src"), kind.alias("_type"))
     parts = chunks.select(F.col(doc).alias("_doc"), F.col("chunk_id").alias("_chunk"), F.lower(F.coalesce(F.col(heading), F.lit(""))).alias("_head"), part.alias("_piece"))
-    near = own.select("_claim", "_doc", F.explode(F.sequence(F.col("_src") - k, F.col("_src") + k)).alias("_chunk")).join(parts.drop("_head"), ["_doc", "_chunk"])
+    near = own.select("_claim", "_doc", F.explode(F.sequence(F.col("_src") - k, F.col("_src") + k)).alias("_chunk")).join(
+        parts.select("_doc", "_chunk", F.substring("_piece", 1, half).alias("_piece")), ["_doc", "_chunk"])  # no part shows more than its budget, so no more moves
     tests = {t: contains_any(F.col("_head"), words) for t, words in {**hints, "": other}.items()}
     typed = parts.withColumn("_type", F.explode(F.array_compact(F.array(*[F.when(c, F.lit(t)) for t, c in tests.items()]))))
-    short = first_rows(typed, ["_doc", "_type"], ["_chunk"], rest // 3 + 2 * k + 2).select("_doc", "_type", "_chunk", "_piece")  # a part has three characters at least
+    short = first_rows(typed, ["_doc", "_type"], ["_chunk"], rest // 3 + 2 * k + 2).select("_doc", "_type", "_chunk", F.substring("_piece", 1, rest).alias("_piece"))  # a part has three characters at least
     size = F.least(F.length("_piece"), F.lit(rest)).cast("long")
     reach = running(short, ["_doc", "_type"], "_chunk", size, "_sum").filter(F.col("_sum") - size < rest * (2 * k + 2))
     far = own.join(reach, ["_doc", "_type"]).filter(F.abs(F.col("_chunk") - F.col("_src")) > k).select("_claim", "_chunk", "_piece")

@@ -94,3 +94,10 @@ def test_assay_cells_by_place(spark):
     df = spark.createDataFrame(tables, "cid int, j string").select("cid", F.parse_json("j").alias("table"))
     got = sorted(tuple(r) for r in columnar_cells_to_rows(df, ["cid"]).collect())
     assert got == [(1, 0, 7, "", "x"), (1, 1, 8, "n", None), (2, 0, 9, "one", None), (3, 0, 4, "", None)]
+
+
+def test_context_of_long_parts(spark, tmp_path):
+    rows = [(i, f"repeat('part {i} of it ', {n})") for i, n in ((1, 400), (2, 10), (3, 260), (5, 3), (6, 500), (7, 230), (8, 1), (13, 300), (14, 9), (20, 250))]
+    assert same(spark, tmp_path, "context_sections", {"documents": docs(rows)})
+    plan = QUERIES["context_sections"](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("substring(") > 2  # near and far parts are cut below the joins too
