@@ -26,6 +26,8 @@ from attestra.llm.words import piece_bytes, words_of
 
 #: A block of documents ends at either bound: word places, characters of distinct words.
 BLOCK_WORDS, BLOCK_CHARS = 3_000_000, 6_000_000
+#: Texts that a task turns into Python objects at a time.
+SLICE = 256
 #: Ids that a task holds at a time as it fills in or decodes documents; a longer document stands alone.
 BATCH_IDS = 400_000
 
@@ -72,11 +74,13 @@ class Block:
 def blocks_of(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[str, Block]]:
     split, block, seq = words_of(path).split, Block(), 0
     for b in batches:
-        for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            block.add(doc_id, split(text or ""))
-            if block.full():
-                yield block.name(seq), block
-                block, seq = Block(), seq + 1
+        for i in range(0, b.num_rows, SLICE):
+            part = b.slice(i, SLICE)
+            for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                block.add(doc_id, split(text or ""))
+                if block.full():
+                    yield block.name(seq), block
+                    block, seq = Block(), seq + 1
     if block.ids:
         yield block.name(seq), block
 
@@ -103,9 +107,16 @@ def word_lists(path: str, buckets: int):
 
 
 def coded_lists(path: str):
-    """block, bucket, place, sizes, codes: the distinct-word table's rows for each block; a word is encoded where it is first met and then known."""
+    """block, bucket, place, sizes, codes: the distinct-word table's rows for each block; a word is encoded where it is first met and then known.
+
+    Buckets have no word in common, so the worker forgets a task's words with it; else it would keep them through whatever it does next.
+    """
     def run(batches):
-        ids = words_of(path).ids
+        words_of(path).known.forget()
+        yield from coded(batches, words_of(path).ids)
+        words_of(path).known.forget()
+
+    def coded(batches, ids):
         for b in batches:
             for name, bucket, place, words in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 with pa.ipc.open_stream(zstandard.decompress(words)) as s:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -37,6 +38,18 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+@contextlib.contextmanager
+def narrow_batches(spark: SparkSession, size: str = "8m") -> Iterator[None]:
+    """What is written inside passes at most ``size`` at a time to a Python worker: Spark's default is 64 MB, which stands in the executor and in the worker. The session's own bound holds again after."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    was = spark.conf.get(key, None)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if was is None else spark.conf.set(key, was)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows as a Parquet table in the shared folder: cuts lineage, survives lost executors, keeps column pruning."""
     path = shared_path(df.sparkSession, label)

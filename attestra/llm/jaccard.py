@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from attestra.llm.common import query, stored, table
+from attestra.llm.common import narrow_batches, query, stored, table
 from attestra.llm.components import merged
 
 U8 = np.uint64
@@ -210,25 +210,50 @@ SKETCH = 16
 PARTS = [f"s{i}" for i in range(SKETCH)]
 
 
+#: Most bits of a wide sketch; a longer one would only rule out more.
+WIDEST = 1 << 17
+
+
+def wide_sketch(s: np.ndarray) -> np.ndarray:
+    """Parities of how many shingles fall on each bit: two sketches differ in no more bits than their sets in shingles. Bits are a power of two, about one a shingle."""
+    bits = 64 * SKETCH
+    while bits < min(len(s), WIDEST):
+        bits *= 2
+    at = (mixed(s ^ U8(0x3C6EF372FE94F82B)) >> U8(20)).astype("i8") % bits
+    return np.packbits((np.bincount(at, minlength=bits) & 1).astype("u1"))
+
+
+def folded(wide: np.ndarray, size: int) -> np.ndarray:
+    """The sketch of the same set with fewer bits, in ``size`` bytes."""
+    return np.bitwise_xor.reduce(wide.reshape(-1, size), axis=0)
+
+
 def sketch(s: np.ndarray) -> np.ndarray:
-    """Parities of how many shingles fall on each of 1024 bits: two sketches differ in no more bits than their sets in shingles."""
-    at = (mixed(s ^ U8(0x3C6EF372FE94F82B)) >> U8(20)).astype("i8") % (64 * SKETCH)
-    return np.packbits((np.bincount(at, minlength=64 * SKETCH) & 1).astype("u1")).view("i8")
+    """The sketch of 1024 bits."""
+    return folded(wide_sketch(s), 8 * SKETCH).view("i8")
+
+
+def within(a: np.ndarray, b: np.ndarray, total: int, percent: int) -> bool:
+    """Whether wide sketches leave a link possible for two sets of ``total`` shingles in all; exact, as it is a bound."""
+    size = min(len(a), len(b))
+    return int(np.bitwise_count(folded(a, size) ^ folded(b, size)).sum()) <= total - 2 * -(-percent * total // (100 + percent))
 
 
 def measured(width: int):
-    """doc_id, row, n_shingles, node (the hash of the whole set, null without shingles) and the set's sketch."""
+    """doc_id, row, n_shingles, node (the hash of the whole set, null without shingles), the set's sketch, and the wide one where that is longer."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sizes, nodes, sketches = [], [], []
+            sizes, nodes, sketches, wides = [], [], [], []
             for w in column_words(b.column("text")):
                 s = shingle_set(w, width)
                 sizes.append(len(s))
                 nodes.append(set_hash(s) if len(s) else None)
-                sketches.append(sketch(s))
+                wide = wide_sketch(s)
+                sketches.append(folded(wide, 8 * SKETCH).view("i8"))
+                wides.append(wide.tobytes() if len(wide) > 8 * SKETCH else None)
             parts = np.array(sketches, "i8").reshape(-1, SKETCH)
-            yield pa.record_batch([b.column("doc_id"), b.column("row"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), *[pa.array(parts[:, i]) for i in range(SKETCH)]],
-                                  ["doc_id", "row", "n_shingles", "node", *PARTS])
+            yield pa.record_batch([b.column("doc_id"), b.column("row"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), *[pa.array(parts[:, i]) for i in range(SKETCH)], pa.array(wides, pa.binary())],
+                                  ["doc_id", "row", "n_shingles", "node", *PARTS, "wide"])
     return run
 
 
@@ -345,6 +370,25 @@ def verified(pairs: DataFrame, rows: DataFrame, base: DataFrame, width: int, per
     return stored(both.select("a", "b", "text").mapInArrow(checked(width, percent), "a long, b long, ok boolean"), "verified")
 
 
+def not_ruled_out(percent: int):
+    """a, b of the pairs that wide sketches leave possible; a pair without them stays."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            stays = [x is None or y is None or within(np.frombuffer(x, "u1"), np.frombuffer(y, "u1"), total, percent)
+                     for x, y, total in zip(*(batch.column(c).to_pylist() for c in ("x", "y", "total")), strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(stays, pa.bool_()))
+    return run
+
+
+def close(pairs: DataFrame, base: DataFrame, percent: int) -> DataFrame:
+    """Stored pairs of nodes that wide sketches leave possible: a few hundred bytes of a long text move for a pair, where the whole text would."""
+    named = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wides = stored(base.filter("wide is not null").join(named, "node").groupBy("node").agg(F.min("wide").alias("wide"), F.min("n_shingles").alias("n")), "wides")
+    side = lambda c, w: wides.select(F.col("node").alias(c), F.col("wide").alias(w), F.col("n").alias(f"n_{c}"))
+    both = pairs.join(side("a", "x"), "a", "left").join(side("b", "y"), "b", "left").select("a", "b", "x", "y", (F.col("n_a") + F.col("n_b")).alias("total"))
+    return stored(both.mapInArrow(not_ruled_out(percent), "a long, b long"), "close")
+
+
 def apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
     """Pairs that no component holds together yet."""
     side = lambda c: comps.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
@@ -398,21 +442,26 @@ def jaccard_components(docs: DataFrame, text: str = "text", id_col: str = "doc_i
     shingles and stand alone under their own id; a null id is no smallest id unless its group has no other; repeated rows and ids are
     rows like others; other columns are not read; no rows give no rows.
     """
+    with narrow_batches(docs.sparkSession):
+        return _components(docs, text, id_col, width, percent)
+
+
+def _components(docs: DataFrame, text: str, id_col: str, width: int, percent: int) -> DataFrame:
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")).withColumn("row", row_hash("doc_id", "text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    base = stored(rows.mapInArrow(measured(width), f"doc_id {kind}, row long, n_shingles long, node long, " + ", ".join(f"{c} long" for c in PARTS)), "sets")
+    base = stored(rows.mapInArrow(measured(width), f"doc_id {kind}, row long, n_shingles long, node long, " + ", ".join(f"{c} long" for c in PARTS) + ", wide binary"), "sets")
     nodes = stored(base.filter("node is not null").groupBy("node").agg(F.min("n_shingles").alias("n"), *[F.min(c).alias(c) for c in PARTS]), "nodes")
     met = shared_keys(rows, width, percent)
     none = docs.sparkSession.createDataFrame([], "a long, b long")
     state = {"known": none, "comps": none.select(F.col("a").alias("node"), F.col("b").alias("component"))}
 
-    def settle(pairs: DataFrame) -> None:
-        """Verifies pairs and joins the components of those that link."""
+    def settle(pairs: DataFrame, many: bool = True) -> None:
+        """Verifies pairs and joins the components of those that link; where a set has many partners, wide sketches rule out first."""
         pairs = stored(pairs, "pairs")
         if pairs.isEmpty():
             return
-        got = verified(pairs, rows, base, width, percent)
-        state["known"] = state["known"].unionByName(got.select("a", "b"))
+        state["known"] = state["known"].unionByName(pairs)
+        got = verified(close(pairs, base, percent) if many else pairs, rows, base, width, percent)
         state["comps"] = merged(state["comps"], got.filter("ok").select("a", "b"))
 
     # stars: every set of a key with the key's least and with its greatest set, where sizes and sketches allow a link
@@ -422,7 +471,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", id_col: str = "doc_i
     stars = stored(stars.join(one, F.col("a") == F.col("one.node")).join(two, F.col("b") == F.col("two.node")).filter(may_link("one", "two", percent)).select("a", "b"), "stars")
     for _ in range(PICKS):  # one partner for a set and turn: most of a group is together before most of its pairs were ever compared
         left = apart(stars, state["comps"]).join(state["known"], ["a", "b"], "left_anti")
-        settle(left.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+        settle(left.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), many=False)
     settle(apart(stars, state["comps"]).join(state["known"], ["a", "b"], "left_anti"))
     # what is left: sets of one key in different components. Keys of few sets are compared pair by pair, a share of the keys before the others;
     # the sets of other keys are indexed again and look up their rarest segments only

@@ -26,6 +26,10 @@ class Known(dict):
         super().__init__()
         self.codes, self.half, self.old = codes, max(1, keep // 2), {}
 
+    def forget(self) -> None:
+        self.clear()
+        self.old = {}
+
     def __missing__(self, word: str) -> bytes:
         if len(self) >= self.half:
             self.old = dict(self)

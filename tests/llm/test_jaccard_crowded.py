@@ -67,3 +67,27 @@ def test_any_keys_that_are_looked_up_find_linked_sets(size, seed, first):
         need, keys = next((need, keys) for need, asks, keys in schemes.spare(a) if asks)
         taken = sorted(keys.tolist(), key=lambda k: (k in held) == first)[:need]
         assert any(k in held for k in taken)
+
+
+def test_wide_sketches_rule_out_long_texts_before_they_move(spark):
+    """Sets of thousands of shingles differ in more than a sketch of 1024 bits can tell; no linked pair is ruled out."""
+    r = np.random.default_rng(5)
+    base = r.integers(1, 1 << 63, 6000, dtype="u8")
+    sets = [np.unique(np.concatenate([base[:n], r.integers(1, 1 << 63, 6000 - n, dtype="u8")])) for n in (6000, 5990, 5500, 5400, 4400, 3000)] + [np.unique(base[:3900])]
+    wides = [jaccard.wide_sketch(s) for s in sets]
+    kept = {(i, j) for i in range(len(sets)) for j in range(i) if jaccard.within(wides[i], wides[j], len(sets[i]) + len(sets[j]), 80)}
+    links = {(i, j) for i in range(len(sets)) for j in range(i) if jaccard.linked(sets[i], sets[j], 80)}
+    assert links and links <= kept
+    assert not any(5 in pair for pair in kept)  # half of its shingles are its own
+    most = 12000 - 2 * -(-80 * 12000 // 180)
+    assert int(np.bitwise_count((jaccard.sketch(sets[0]) ^ jaccard.sketch(sets[5])).view("u8")).sum()) <= most  # 1024 bits leave it possible
+    base = spark.createDataFrame([(i, len(s), bytearray(w.tobytes())) for i, (s, w) in enumerate(zip(sets, wides, strict=True))] + [(90, 40, None)], "node long, n_shingles long, wide binary")
+    pairs = spark.createDataFrame([(j, i) for i in range(len(sets)) for j in range(i)] + [(0, 90)], "a long, b long")
+    assert {(p.b, p.a) for p in jaccard.close(pairs, base, 80).collect()} == kept | {(90, 0)}
+
+
+def test_a_session_keeps_its_batch_size(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    was = spark.conf.get(key)
+    jaccard.jaccard_components(spark.createDataFrame([(1, "a b c d e")], "doc_id long, text string"))
+    assert spark.conf.get(key) == was

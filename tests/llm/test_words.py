@@ -1,9 +1,14 @@
 """Words are encoded once while they are in use, whatever signs follow them and however many others pass."""
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+import zstandard
 
-from attestra.llm.words import Known, Words
+from attestra.llm import bpe
+from attestra.llm.bpe import blocks_of, coded_lists, narrow, pack
+from attestra.llm.words import Known, Words, words_of
 
 
 def test_words_in_use_outlive_a_full_table():
@@ -20,3 +25,21 @@ def test_letters_before_signs_are_encoded_once(file):
     w = Words(public_tokenizers.path(file), keep=6)
     for word in ("Straße", "Straße,", " Straße...", "été", "ÉTÉ", "été;", "***", ",", "a.b", "x", "漢字", " an", "an"):
         assert w.pieces(word) == w.encode(word) and w.ids(word) == b"".join(i.to_bytes(4, "little") for i in w.encode(word))
+
+
+def test_a_worker_forgets_the_words_of_a_bucket(monkeypatch):
+    """Buckets share no word; a reused worker would hold the words of all of them through later stages."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    docs = pa.record_batch([pa.array([1, 2]), pa.array(["one two, one", None])], ["doc_id", "text"])
+    monkeypatch.setattr(bpe, "TaskContext", type("T", (), {"get": staticmethod(lambda: type("C", (), {"partitionId": lambda self: 0})())}))
+    (name, block), = blocks_of(iter([docs]), path)
+    sink = pa.BufferOutputStream()
+    words = list(block.numbers)
+    with pa.ipc.new_stream(sink, pa.schema([("w", pa.large_string())])) as out:
+        out.write_batch(pa.record_batch([pa.array(words, pa.large_string())], ["w"]))
+    lists = pa.record_batch([pa.array([name]), pa.array([0], pa.int32()), pa.array([pack(np.arange(len(words), dtype="<u4"))], pa.binary()),
+                             pa.array([zstandard.compress(sink.getvalue().to_pybytes(), 3)], pa.binary())], ["block", "bucket", "place", "words"])
+    row, = (b.to_pylist()[0] for b in coded_lists(path)(iter([lists])))
+    known = words_of(path).known
+    assert narrow(row["sizes"], len(words)).tolist() == [len(words_of(path).encode(w)) for w in words]
+    assert not known and not known.old
