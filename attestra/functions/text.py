@@ -12,6 +12,8 @@ from pyspark.sql.types import StringType
 from attestra.functions.columns import as_col, case, lookup, text_of
 
 LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]"
+#: Gaps between words that are not one blank already, so most words are passed by.
+WIDE_GAP = r"(?U) \s+|(?! )\s+"
 WORD_GAP = r"(?U)\s+"
 SPACES = "".join(chr(c) for c in (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
 ARRAY = "array<string>"
@@ -19,7 +21,7 @@ ARRAY = "array<string>"
 
 def collapse(text) -> Column:
     """Whitespace runs to one blank, ends trimmed."""
-    return F.trim(F.regexp_replace(as_col(text), WORD_GAP, " "))
+    return F.trim(F.regexp_replace(as_col(text), WIDE_GAP, " "))
 
 
 def strip_space(text) -> Column:
@@ -27,6 +29,11 @@ def strip_space(text) -> Column:
     return F.trim(as_col(text), F.lit(SPACES))
 
 
+def once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once for a row, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def split_lines(text) -> Column:
     parts = F.split(as_col(text), LINE_BREAK)
     return F.when(F.element_at(parts, -1) == "", F.slice(parts, F.lit(1), F.size(parts) - 1)).otherwise(parts)
@@ -224,16 +231,16 @@ def section_text(kind: str, text) -> Column:
     text = as_col(text)
     if kind == "abstract":
         body = collapse(F.regexp_extract(text, r"(?is)(?:\A|\n)\s*(?:#{1,3}\s*)?(?:abstract|summary)\s*\n(.*?)(?=\n#{1,3}\s|\n\s*(?:background|introduction|methods|objectives)\s*\n|\z)", 1))
-        return F.when(F.length(body) > 100, body).otherwise(strip_space(F.substring(text, 1, 3000)))
+        return once(body, lambda b: F.when(F.length(b) > 100, b).otherwise(strip_space(F.substring(text, 1, 3000))))
     if kind == "budget":
         patterns = (
             r"(?is)(?:\A|\n)\s*(?:#{1,3}\s*)?(?:budget|funding|cost)\s*(?:outline|breakdown|summary|estimate)?\s*\n(.*?)(?=\n#{1,3}\s|\z)",
             r"(?is)(?:budget|estimated.*?budget|overall.*?budget).*?\n(.*?)(?=\n#{1,3}\s|\n\s*(?:open.?science|references|limitations|timeline|milestones)\s*\n|\z)",
         )
         found = [strip_space(F.regexp_extract(text, p, 1)) for p in patterns]
-        return F.coalesce(*[F.when(F.length(f) > 50, F.substring(f, 1, 3000)) for f in found], F.lit(""))
+        return F.coalesce(*[once(f, lambda x: F.when(F.length(x) > 50, F.substring(x, 1, 3000))) for f in found], F.lit(""))
     if kind == "keywords":
-        marked = F.filter(split_lines(text), lambda x: x.rlike(r"(?i)^\*?Keywords\*?[:\s]+.+"))
+        marked = F.filter(F.split(text, LINE_BREAK), lambda x: x.rlike(r"(?i)^\*?Keywords\*?[:\s]+.+"))
         listed = F.regexp_extract(F.try_element_at(marked, F.lit(-1)), r"(?i)^\*?Keywords\*?[:\s]+(.+)", 1)
         return F.filter(F.transform(F.split(listed, "[,;]"), lambda k: F.trim(k)), lambda k: k != "")
     if kind == "published":
