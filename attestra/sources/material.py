@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attestra.functions.columns import lit_array
+from attestra.session import cut_lineage
 
 # ---- fixed values: report block -> (meta row type, meta fields, ((list field, row type), ...)) ---
 BLOCKS = (
@@ -102,9 +103,10 @@ def material_to_report(rows: DataFrame, key: str, seq: str = "seq") -> DataFrame
 def material_rows(files: DataFrame, text: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """Rows of whole-file texts in any accepted form: JSON lines, {records: []}, {report: {}} or a bare report."""
     whole = F.try_parse_json(F.col(text))
-    first = F.try_parse_json(F.element_at(F.filter(F.split(F.col(text), r"\r?\n"), lambda x: F.trim(x) != ""), 1))
+    first = F.try_parse_json(F.try_element_at(F.filter(F.split(F.col(text), r"\r?\n"), lambda x: F.trim(x) != ""), F.lit(1)))
     is_lines = F.try_variant_get(first, "$.source_type", "string").isNotNull()
-    base = files.select(*keep, F.col(text).alias("_text"), whole.alias("_whole"), is_lines.alias("_lines"))
+    # three forms are read from the files, so these are made and parsed once
+    base = cut_lineage(files.select(*keep, F.col(text).alias("_text"), whole.alias("_whole"), is_lines.alias("_lines")))
     strict = F.parse_json(F.col("_line"))
     lines = (base.filter("_lines").select(*keep, F.posexplode(F.split("_text", r"\r?\n")).alias("seq", "_line")).filter(F.trim("_line") != "")
              .withColumn("_v", strict))
