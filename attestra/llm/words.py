@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 from collections.abc import Callable
@@ -18,6 +19,10 @@ FAST, EXACT = re.compile(r" ?\S+|\s+(?!\S)|\s"), re.compile(f" ?[^{SPACE}]+|[{SP
 #: Words whose pieces are known without the tokenizer's pattern: Latin letters, then signs.
 PLAIN = re.compile(r"( ?)([A-Za-zÀ-ÖØ-öø-ÿ]*)([.,;:!?*$%&#|<>()\[\]{}/\\\"+=~^_`@-]*)")
 
+#: Runs of lower-case Latin-1 texts as a file with the pattern ``FILE_RUNS`` cuts them (no piece spans two runs), so a word has one entry whatever case and signs it comes in.
+RUNS = re.compile("'(?:[stmd]|re|ve|ll)|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^\\sa-zªµºß-öø-ÿ0-9²³¹¼½¾]+")
+FILE_RUNS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
 
 class Known(dict):
     """word -> codes, for up to ``keep`` words: when half as many are in, they become the old ones, from which words still in use come back."""
@@ -42,7 +47,7 @@ class Known(dict):
 
 
 class Words:
-    """One tokenizer file in one Python worker. ``ids(word)`` is remembered for up to ``keep`` words."""
+    """One tokenizer file in one Python worker. ``ids(word)`` is remembered for up to ``keep`` words, those of whole lower-cased texts for three times as many."""
 
     def __init__(self, path: str, keep: int = 300_000):
         from tokenizers import Tokenizer
@@ -56,6 +61,7 @@ class Words:
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.lower = self.tokenizer.normalizer is not None
         self.byte = byte_letters()
+        self.lowered = Known(self.of_runs, 3 * keep) if self.lower and cuts(self.tokenizer) == FILE_RUNS else None
 
     def split(self, text: str) -> list[str]:
         """Words whose codes, one after the other, are the codes of the text (byte-level file: blanks belong to the word after them)."""
@@ -93,11 +99,45 @@ class Words:
         """Codes as little-endian unsigned 32-bit integers."""
         return self.known[word]
 
+    def of_runs(self, word: str) -> bytes:
+        """The codes of a word of lower-case Latin-1; its runs are looked up by themselves, as other words have them too."""
+        runs = RUNS.findall(word)
+        if len(runs) > 1:
+            return b"".join(map(self.lowered.__getitem__, runs))
+        plain = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self.byte)
+        got = [t.id for t in self.model.tokenize(plain)]
+        return struct.pack(f"<{len(got)}I", *got)
+
     def text_ids(self, text: str) -> bytes:
         """Codes of a whole text for a file that drops white space: the words between white space, each by itself."""
         if EXTRA.search(text) or any(s in text for s in self.special):
             return np.array(self.encode(text), "<u4").tobytes()
-        return b"".join(map(self.known.__getitem__, text.split()))
+        if self.lowered is None:
+            return b"".join(map(self.known.__getitem__, text.split()))
+        if not wide(text):
+            return b"".join(map(self.lowered.__getitem__, text.lower().split()))
+        return b"".join(self.known[w] if wide(w) else self.lowered[w.lower()] for w in text.split())
+
+
+def wide(text: str) -> bool:
+    """Whether it has characters beyond Latin-1; below, lower case is a matter of single characters and nothing composes."""
+    if text.isascii():
+        return False
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return True
+    return False
+
+
+def cuts(tokenizer) -> str | None:
+    """The one pattern by which a file cuts lower-cased texts before their bytes are spelled, if that is how it does it."""
+    said = json.loads(tokenizer.to_str())
+    names = [s.get("type") for s in (said["normalizer"] or {}).get("normalizers") or []]
+    steps = (said["pre_tokenizer"] or {}).get("pretokenizers") or []
+    if names != ["NFC", "Replace", "Lowercase"] or [s.get("type") for s in steps] != ["Split", "ByteLevel"]:
+        return None
+    return steps[0]["pattern"].get("Regex") if steps[0].get("invert") and not steps[1].get("use_regex") else None
 
 
 def byte_letters() -> dict[int, str]:

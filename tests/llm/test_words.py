@@ -27,6 +27,19 @@ def test_letters_before_signs_are_encoded_once(file):
         assert w.pieces(word) == w.encode(word) and w.ids(word) == b"".join(i.to_bytes(4, "little") for i in w.encode(word))
 
 
+def test_words_of_any_case_have_one_entry():
+    w = Words(public_tokenizers.path("word_bpe_49k.json"))
+    w.text_ids("Straße STRASSE straße Und UND und, und uNd,")
+    assert set(w.lowered) == {"straße", "strasse", "und", "und,", ","} and not w.known
+
+
+def test_whole_texts_as_the_file_lowers_and_cuts_them():
+    w = Words(public_tokenizers.path("word_bpe_49k.json"), keep=6)
+    for text in ("", "\xa0\t\x85", "Don't 'S it'S ('s) rock'n'roll we'LL", "ÀÖØÞ×÷ªºµß ÿŸ", "x²½ 12,5 a1b2", "...,,! ¿Qué?«Sí»\xad\x00\x7f", "İi ΑΣ ΣΑ. ǅ ﬁ", "ÉTÉ’s “Été” 漢字 É e\u0301 \u0301",
+                 "<|ENDOFTEXT|> A", "a<|endoftext|>B", "A\x1cB"):
+        assert w.text_ids(text) == np.array(w.encode(text), "<u4").tobytes(), text
+
+
 def test_a_worker_forgets_the_words_of_a_bucket(monkeypatch):
     """Buckets share no word; a reused worker would hold the words of all of them through later stages."""
     path = public_tokenizers.path("byte_bpe_50k.json")
