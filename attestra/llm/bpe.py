@@ -3,7 +3,7 @@
 Encoding: tasks cut texts into words and number the distinct words of a block of documents. The blocks' word lists are shuffled by the
 words' hash, so all occurrences of a word meet in one task, which encodes it once. The codes go back to the blocks by a join and are put
 in the words' places. What moves is each block's word list and its documents as word numbers, never a row for a word of a text.
-Decoding is a map-side join of ids with the id-to-piece table, which a vocabulary bounds.
+Decoding is a map-side join of ids with the id-to-piece table, which a vocabulary bounds; ``encode`` does it with the ids it has just made, if asked.
 """
 
 from __future__ import annotations
@@ -146,47 +146,65 @@ def narrow(data: bytes, n: int) -> np.ndarray:
     return np.frombuffer(raw, "<u2" if len(raw) == 2 * n else "<u4").astype("<u4")
 
 
-def filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, ids, and the digest of the ids: every word number replaced by the word's codes."""
-    for b in batches:
-        for row in b.to_pylist():
-            starts = np.zeros(row["n_words"], "<i8")
-            lengths = np.full(row["n_words"], -1, "<i8")
-            parts, base = [], 0
-            for x in row["lists"] or []:
-                at = unpack(x["place"], "<u4")
-                size = narrow(x["sizes"], len(at)).astype("<i8")
-                codes = narrow(x["codes"], int(size.sum()))
-                lengths[at] = size
-                starts[at] = base + np.cumsum(size) - size
-                parts.append(codes)
-                base += len(codes)
-            if (lengths < 0).any():
-                raise RuntimeError("a block's words are missing: the input changed between two attempts; store it before encoding")
-            flat = np.concatenate(parts) if parts else np.zeros(0, "<u4")
-            with pa.ipc.open_stream(zstandard.decompress(row["ids"])) as s:
-                ids = s.read_all().column(0).combine_chunks()
-            sizes, places = unpack(row["sizes"], "<u4").astype("<i8"), unpack(row["places"], "<u4")
-            ends = np.concatenate([[0], np.cumsum(sizes)])
-            words_at = np.concatenate([[0], np.cumsum(lengths[places])])[ends]  # tokens before each document
-            first = 0
-            while first < len(sizes):
-                last = max(first + 1, int(np.searchsorted(words_at, words_at[first] + BATCH_IDS, "right")) - 1)
-                got = places[ends[first]:ends[last]]
-                n = lengths[got]
-                total = int(n.sum())
-                index = np.repeat(starts[got] - (np.cumsum(n) - n), n) + np.arange(total)
-                offsets = (words_at[first:last + 1] - words_at[first]).astype("<i4")
-                values = flat[index]
-                shas = [hashlib.sha256(values[i:j].tobytes()).hexdigest() for i, j in pairwise(offsets.tolist())]
-                yield pa.record_batch([ids.slice(first, last - first), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values.astype("<i4"))), pa.array(shas, pa.string())],
-                                      ["doc_id", "ids", "ids_sha256"])
-                first = last
+def filled(path: str, decoded: str | None):
+    """doc_id, ids, the digest of the ids, and the text they stand for if ``decoded`` names a column: every word number replaced by the word's codes.
+
+    One block is unpacked at a time, and ids are read back where they are made, so that no second worker beside this one holds them.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = None if decoded is None else pa.array(piece_bytes(path), pa.large_binary())
+        for b in batches:
+            for i in range(b.num_rows):
+                for doc_id, ids, shas in documents(b.slice(i, 1).to_pylist()[0]):
+                    yield pa.record_batch([doc_id, ids, shas] + ([] if pieces is None else [texts_of(ids, pieces)]), ["doc_id", "ids", "ids_sha256"] + ([] if decoded is None else [decoded]))
+
+    def documents(row: dict) -> Iterator[tuple[pa.Array, pa.ListArray, pa.Array]]:
+        starts = np.zeros(row["n_words"], "<i8")
+        lengths = np.full(row["n_words"], -1, "<i8")
+        parts, base = [], 0
+        for x in row.pop("lists") or []:
+            at = unpack(x["place"], "<u4")
+            size = narrow(x["sizes"], len(at)).astype("<i8")
+            codes = narrow(x["codes"], int(size.sum()))
+            lengths[at] = size
+            starts[at] = base + np.cumsum(size) - size
+            parts.append(codes)
+            base += len(codes)
+        if (lengths < 0).any():
+            raise RuntimeError("a block's words are missing: the input changed between two attempts; store it before encoding")
+        flat = np.concatenate(parts) if parts else np.zeros(0, "<u4")
+        with pa.ipc.open_stream(zstandard.decompress(row["ids"])) as s:
+            ids = s.read_all().column(0).combine_chunks()
+        sizes, places = unpack(row["sizes"], "<u4").astype("<i8"), unpack(row["places"], "<u4")
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        words_at = np.concatenate([[0], np.cumsum(lengths[places])])[ends]  # tokens before each document
+        first = 0
+        while first < len(sizes):
+            last = max(first + 1, int(np.searchsorted(words_at, words_at[first] + BATCH_IDS, "right")) - 1)
+            got = places[ends[first]:ends[last]]
+            n = lengths[got]
+            total = int(n.sum())
+            index = np.repeat(starts[got] - (np.cumsum(n) - n), n) + np.arange(total)
+            offsets = (words_at[first:last + 1] - words_at[first]).astype("<i4")
+            values = flat[index]
+            shas = [hashlib.sha256(values[i:j].tobytes()).hexdigest() for i, j in pairwise(offsets.tolist())]
+            yield ids.slice(first, last - first), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values.astype("<i4"))), pa.array(shas, pa.string())
+            first = last
 
+    return run
+
+
+def texts_of(column: pa.ListArray, pieces: pa.Array) -> pa.Array:
+    """Each row's pieces joined and read as UTF-8."""
+    offsets = column.offsets.to_numpy().astype("<i8")
+    taken = pieces.take(column.values.slice(offsets[0], offsets[-1] - offsets[0]))
+    whole = pa.LargeListArray.from_arrays(pa.array(offsets - offsets[0]), taken)
+    return pa.array([x.as_py().decode("utf-8", "replace") for x in pc.binary_join(whole, pa.scalar(b"", pa.large_binary()))], pa.string())
 
-def encode(docs: DataFrame, path: str, text: str = "text", id_col: str = "doc_id", buckets: int | None = None) -> DataFrame:
+
+def encode(docs: DataFrame, path: str, text: str = "text", id_col: str = "doc_id", buckets: int | None = None, decoded: str | None = None) -> DataFrame:
     """doc_id, ids (array<int>) and ids_sha256 (of the ids as little-endian unsigned 32-bit integers) of every row, as the tokenizers library
-    encodes the whole text without added special tokens.
+    encodes the whole text without added special tokens; ``decoded`` names a column for the text that these ids stand for, as ``decode`` gives it.
 
     Null texts count as empty and have no ids; null and repeated ids are rows of their own; other columns are not read; no rows give no rows.
     The input must give the same rows per task in every attempt, as a file scan does: a block whose words are missing stops the job.
@@ -201,7 +219,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", id_col: str = "doc_id
     lists = coded.groupBy("block").agg(F.collect_list(F.struct("place", "sizes", "codes")).alias("lists"))  # at most ``buckets`` rows for a block
     documents = rows.mapInArrow(documents_of(path, id_type), "block string, ids binary, sizes binary, places binary, n_words long")
     joined = documents.join(lists, "block", "left").select("ids", "sizes", "places", "n_words", "lists")
-    return joined.mapInArrow(filled, f"doc_id {kind.simpleString()}, ids array<int>, ids_sha256 string")
+    return joined.mapInArrow(filled(path, decoded), f"doc_id {kind.simpleString()}, ids array<int>, ids_sha256 string" + ("" if decoded is None else f", {decoded} string"))
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
@@ -212,12 +230,6 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", name: str = "decoded
     schema = encoded.schema.simpleString()[len("struct<"):-1]
     out_names = [*encoded.columns, name]
 
-    def texts(column: pa.ListArray, pieces: pa.Array) -> pa.Array:
-        offsets = column.offsets.to_numpy().astype("<i8")
-        taken = pieces.take(column.values.slice(offsets[0], offsets[-1] - offsets[0]))
-        whole = pa.LargeListArray.from_arrays(pa.array(offsets - offsets[0]), taken)
-        return pa.array([x.as_py().decode("utf-8", "replace") for x in pc.binary_join(whole, pa.scalar(b"", pa.large_binary()))], pa.string())
-
     def run(batches):
         pieces = pa.array(piece_bytes(path), pa.large_binary())
         for b in batches:
@@ -227,7 +239,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", name: str = "decoded
             ends, first = column.offsets.to_numpy(), 0
             while first < len(column):
                 last = max(first + 1, int(np.searchsorted(ends, ends[first] + BATCH_IDS, "right")) - 1)
-                yield pa.record_batch([*b.slice(first, last - first).columns, texts(column.slice(first, last - first), pieces)], out_names)
+                yield pa.record_batch([*b.slice(first, last - first).columns, texts_of(column.slice(first, last - first), pieces)], out_names)
                 first = last
 
     encoded_at = encoded.columns.index(ids)
@@ -239,5 +251,5 @@ def op1_distinct_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_50k.json")
-    done = decode(encode(table(spark, sf_dir, "documents"), path), path)
+    done = encode(table(spark, sf_dir, "documents"), path, decoded="decoded")
     return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attestra.llm.bpe import decode, encode
+from attestra.llm.bpe import encode
 from attestra.llm.common import stored, table
 from attestra.llm.decontaminate import leaks
 from attestra.llm.jaccard import one_of_each
@@ -69,7 +69,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     are not read; no rows give no rows.
     """
     path = public_tokenizers.path("byte_bpe_50k.json")
-    return decode(encode(docs, path), path, name="text").select("doc_id", "text", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    return encode(docs, path, decoded="text").select("doc_id", "text", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
 STAGES = [("quality classifier", good_quality), ("n-gram Jaccard join", without_near_copies), ("benchmark decontamination", without_benchmark), ("PII", without_personal_data),

@@ -7,7 +7,7 @@ import pytest
 import zstandard
 
 from attestra.llm import bpe
-from attestra.llm.bpe import blocks_of, coded_lists, narrow, pack
+from attestra.llm.bpe import blocks_of, coded_lists, decode, encode, narrow, pack
 from attestra.llm.words import Known, Words, words_of
 
 
@@ -56,3 +56,17 @@ def test_a_worker_forgets_the_words_of_a_bucket(monkeypatch):
     known = words_of(path).known
     assert narrow(row["sizes"], len(words)).tolist() == [len(words_of(path).encode(w)) for w in words]
     assert not known and not known.old
+
+
+def test_ids_are_read_back_by_the_worker_that_made_them(spark, tmp_path):
+    """A second Python operator after the one that fills in ids would stand beside it in every task."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rows = [(1, "one two, one"), (None, None), (3, ""), (3, "\x00 \ufffd 漢字 <|endoftext|>\n\n x"), (2, "Été " * 3000)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(2).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    once, twice = encode(docs, path, decoded="said"), decode(encode(docs, path), path, name="said")
+    assert once.columns == twice.columns
+    got, want = (sorted(map(repr, df.collect())) for df in (once, twice))
+    assert got == want and sorted(r.said for r in once.collect()) == sorted(t or "" for _, t in rows)
+    passes = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow")
+    assert passes(once) == passes(twice) - 1 == 4
