@@ -42,6 +42,11 @@ def blank_to_null(c: Column | str) -> Column:
     return F.when(c != "", c)
 
 
+def trim_spaces(c: Column | str) -> Column:
+    """Both ends without space characters of any script (no tabs or line ends), as SQL engines with Unicode trim."""
+    return F.regexp_replace(as_col(c), r"\A\p{Zs}+|(?<!\p{Zs})\p{Zs}++\z", "")
+
+
 def clamp(c: Column, low: float, high: float) -> Column:
     """Bounded value; null stays null (least and greatest skip nulls)."""
     return F.when(c.isNotNull(), F.greatest(F.lit(low), F.least(F.lit(high), c)))

@@ -71,10 +71,10 @@ def dedupe_material(rows: DataFrame, order_by: Sequence, by: Sequence[str] = ())
     return distinct_first(keyed, key, order_by)
 
 
-def evidence_units(rows: DataFrame, by: Sequence[str], order_by: Sequence, k: int = 15, keep: Column | None = None) -> DataFrame:
+def evidence_units(rows: DataFrame, by: Sequence[str], order_by: Sequence, k: int = 15, keep: Column | None = None, held: Sequence[str] = ()) -> DataFrame:
     """First k rows per item that carry a snippet; meta sources are left out."""
     base = rows.filter(keep) if keep is not None else rows.filter(~F.col("source_type").isin(*UNIT_SKIPPED_SOURCES))
-    base = base.withColumn("snippet", snippet()).filter(F.col("snippet").isNotNull())
+    base = base.withColumn("snippet", snippet(held=held)).filter(F.col("snippet").isNotNull())
     picked = first_rows(base, by, order_by, k, "unit_no")
     unit_id = F.coalesce(material_key(), F.concat_ws(":", "source_type", (F.col("unit_no") - 1).cast("string")))
     return picked.withColumn("unit_id", unit_id)

@@ -93,3 +93,10 @@ def test_names_go_row_by_row(spark):
     df = spark.createDataFrame([("  ﬁsetin \n A",), (None,), ("x",)], "n string").select(norm_name("n").alias("t"))
     assert [r.t for r in df.collect()] == ["fisetin a", "", "x"]
     assert "ArrowEvalPython" not in df._jdf.queryExecution().toString()
+
+
+def test_snippets_of_odd_texts(spark, tmp_path):
+    texts = ["NULL", "''", "'   '", "chr(160) || ' first'", "'last ' || chr(12288)", "repeat('a', 59) || chr(160) || 'tail'", "repeat(' ', 70) || 'late'", "chr(10)", "'plain text'"]
+    rows = " UNION ALL ".join(f"SELECT (range * {len(texts)} + {i})::BIGINT AS doc_id, {t} AS text, 'en' AS lang, 'src' || range % 3 AS source, 1 AS n_chars FROM range(-9, 36)" for i, t in enumerate(texts))
+    for name in ("snippets", "evidence_units"):
+        assert same(spark, tmp_path, name, {"documents": f"{rows} UNION ALL SELECT NULL, 'no id', 'en', 'a', 1"})
