@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Mapping, Sequence
+from heapq import heappop, heappush
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,34 +68,72 @@ def places(text: str) -> dict[str, list[int]]:
     return out
 
 
+# Texts from this length on have popular characters, which start no matching block; characters of the grams that are sketched, in shorter texts and in those.
+POPULAR_FROM = 200
+GRAMS = (2, 5)
+_MIX = np.uint64(0xD6E8FEB86659FD93)
+
+
+def gram_sketch(text: str, gram: int) -> tuple[int, bytes]:
+    """How many characters of the text may start a matching block, and a bit for every gram with its running number among its like.
+
+    A bit that another sketch lacks stands for a gram that its text lacks, or has less often. About four bits a character, a power of two up to 2 ** 19; a
+    longer sketch is brought to the length of a shorter one by joining its parts.
+    """
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    counts = np.unique(points, return_counts=True)[1]
+    rare = int(counts[counts <= len(text) // 100 + 1].sum()) if len(text) >= POPULAR_FROM else len(text)
+    n = max(len(text) - gram + 1, 0)
+    codes = np.zeros(n, np.uint64)
+    for k in range(gram):
+        codes = codes * _MIX + points[k:k + n]
+        codes ^= codes >> np.uint64(29)
+    codes.sort()
+    place = np.arange(n)
+    if n:
+        place -= np.maximum.accumulate(np.where(np.concatenate([[True], codes[1:] != codes[:-1]]), place, 0))
+    codes += place.astype(np.uint64) * _MIX
+    for _ in range(2):
+        codes = (codes ^ (codes >> np.uint64(32))) * _MIX
+    bits = 1 << min(max((4 * len(text) - 1).bit_length(), 8), 19)
+    flags = np.zeros(bits, np.uint8)
+    flags[(codes >> np.uint64(32)) & np.uint64(bits - 1)] = 1
+    return rare, np.packbits(flags, bitorder="little").tobytes()
+
+
 def seq_reaches(a: str, at_a: Mapping[str, Sequence[int]], b: str, at_b: Mapping[str, Sequence[int]], threshold: float) -> bool:
     """Whether ``SequenceMatcher(None, a, b).ratio()`` reaches the threshold, by the same blocks; it ends once the parts still open cannot reach it.
 
-    As there, characters that make up over a hundredth of a long ``b`` start no block; only the others' places are walked.
+    As there, characters that make up over a hundredth of a long ``b`` start no block; only the others' places are walked. The longest open parts go first.
     """
-    total, popular = len(a) + len(b), len(b) // 100 + 1 if len(b) >= 200 else len(b)
+    total, popular = len(a) + len(b), len(b) // 100 + 1 if len(b) >= POPULAR_FROM else len(b)
     if not total:
         return threshold <= 1.0
     starts = sorted((i, c) for c, found in at_a.items() if 0 < len(at_b.get(c, ())) <= popular for i in found)
     matched, left = 0, min(len(a), len(b))
-    todo = [(0, len(a), 0, len(b))]
+    todo = [(-left, 0, len(a), 0, len(b))]
     while todo and 2.0 * (matched + left) / total >= threshold:
-        alo, ahi, blo, bhi = todo.pop()
-        left -= min(ahi - alo, bhi - blo)
+        less, alo, ahi, blo, bhi = heappop(todo)
+        left += less
         x, y, size, runs, last = alo, blo, 0, {}, -2
         for n in range(bisect_left(starts, (alo,)), len(starts)):
             i, c = starts[n]
             if i >= ahi:
                 break
-            before, runs = runs if i == last + 1 else {}, {}
-            last, found = i, at_b[c]
-            for m in range(bisect_left(found, blo), len(found)):
+            found, follows, last = at_b[c], i == last + 1, i
+            before, runs = runs, {}
+            m = bisect_left(found, blo)
+            if not size and m < len(found) and found[m] < bhi:
+                x, y, size = i, found[m], 1
+            # a run of two or more needs a starting character right before: all other places are passed by
+            for m in range(m, len(found)) if follows else ():
                 j = found[m]
                 if j >= bhi:
                     break
-                k = runs[j] = before.get(j - 1, 0) + 1
-                if k > size:
-                    x, y, size = i - k + 1, j - k + 1, k
+                if j > blo and b[j - 1] == a[i - 1]:
+                    k = runs[j] = before.get(j - 1, 1) + 1
+                    if k > size:
+                        x, y, size = i - k + 1, j - k + 1, k
         while x > alo and y > blo and a[x - 1] == b[y - 1]:
             x, y, size = x - 1, y - 1, size + 1
         while x + size < ahi and y + size < bhi and a[x + size] == b[y + size]:
@@ -102,6 +142,7 @@ def seq_reaches(a: str, at_a: Mapping[str, Sequence[int]], b: str, at_b: Mapping
             matched += size
             for part in ((alo, x, blo, y), (x + size, ahi, y + size, bhi)):
                 if part[0] < part[1] and part[2] < part[3]:
-                    todo.append(part)
-                    left += min(part[1] - part[0], part[3] - part[2])
+                    longest = min(part[1] - part[0], part[3] - part[2])
+                    heappush(todo, (-longest, *part))
+                    left += longest
     return 2.0 * (matched + left) / total >= threshold

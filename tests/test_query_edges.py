@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from attestra.catalog import ORACLES, QUERIES
 from attestra.functions.rules import plain_json
+from attestra.functions.similarity import gram_sketch
 from attestra.functions.text import norm_name
 from attestra.operators import dedupe as D
+from attestra.operators.dedupe import _near_in_cell
 from attestra.operators.joins import match_token_sets
 from attestra.sources import records as R
 from tools_check import digest
@@ -100,3 +102,39 @@ def test_snippets_of_odd_texts(spark, tmp_path):
     rows = " UNION ALL ".join(f"SELECT (range * {len(texts)} + {i})::BIGINT AS doc_id, {t} AS text, 'en' AS lang, 'src' || range % 3 AS source, 1 AS n_chars FROM range(-9, 36)" for i, t in enumerate(texts))
     for name in ("snippets", "evidence_units"):
         assert same(spark, tmp_path, name, {"documents": f"{rows} UNION ALL SELECT NULL, 'no id', 'en', 'a', 1"})
+
+
+def test_sketches_of_grams_rule_out_no_pair_that_reaches():
+    """And of long unlike texts of the same syllables all but none is left to a walk."""
+    rnd, kept = random.Random(9), 0
+    frame = lambda i, t, g: pd.DataFrame([(i, len(t), *gram_sketch(t, g))], columns=["_tid", "_n", "_rare", "_sketch"])
+    for _ in range(1200):
+        letters = rnd.choice(["ab", "abcdefghijklmnopqrstuvwxyz   ttt", "e" * 30 + "t" * 20 + " zqxjk"])
+        a = "".join(rnd.choice(letters) for _ in range(rnd.choice([2, 20, 120, 198, 203, 260, 700])))
+        b = "".join(rnd.choice(["", c + rnd.choice("zq"), rnd.choice(letters)]) if rnd.random() < 0.2 else c for c in a) or "x"
+        gram = 2 if len(b) < 200 else 5
+        left = list(_near_in_cell(frame(1, a, gram), frame(2, b, gram), gram, 0.85, 0, 2))
+        kept += bool(left)
+        assert left or difflib.SequenceMatcher(None, a, b).ratio() < 0.85
+    assert kept > 300
+    syllables = "th he in er an re on ed nd ou ea ti es or st ing ion ly is".split()
+    texts = ["".join(rnd.choice(syllables) + rnd.choice(["", "", " "]) for _ in range(600)) for _ in range(120)]
+    cell = pd.concat([frame(i, t, 5) for i, t in enumerate(texts)], ignore_index=True)
+    start = time.process_time()
+    assert len(list(_near_in_cell(cell[:60], cell[60:], 5, 0.85, 0, 60))) == 0 and time.process_time() - start < 1
+
+
+def test_claims_with_many_near_abstracts(spark):
+    """The nearest by grams are walked first, the others in later turns."""
+    rnd = random.Random(5)
+    text = "".join(chr(0x4E00 + rnd.randrange(150)) for _ in range(300))
+    edit = lambda k, at=0: "".join("#" if i % k == at else c for i, c in enumerate(text))
+    abstracts = [edit(6, i % 6) + str(i) for i in range(40)] + [text[150:] + text[:150], edit(9)]
+    asked = [text, edit(40), edit(4, 3), "x" + text]
+    flat = lambda t: t.lower()
+    want = [100 + i for i, a in enumerate(asked) if any(difflib.SequenceMatcher(None, flat(a), flat(t)).ratio() >= 0.85 for t in abstracts)]
+    rows = [(1, i, t, "abstract", "x") for i, t in enumerate(abstracts)] + [(1, 100 + i, t, "other", "Key Messages") for i, t in enumerate(asked)]
+    df = spark.createDataFrame(rows, "g int, claim_id int, claim string, semantic_category string, section_heading string")
+    for first in (1, 50):
+        assert sorted(r.claim_id for r in D.dup_of_abstract(df, ["g"], first=first).collect()) == want
+    assert 0 < len(want) < len(asked)
