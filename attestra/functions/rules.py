@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import functools
 import json
-import operator
 import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import LongType, StringType
 
 from attestra.functions.columns import as_col, case, lookup, text_of
 
@@ -90,7 +88,16 @@ def matches(text: Column, pattern: str, ascii_words: bool = False) -> Column:
     if not ascii_words:
         return text.rlike("(?iU)" + pattern)
     folded = re.sub(r"(?<!\\)[sk]", lambda m: ASCII_FOLDS[m[0].lower()], pattern, flags=re.IGNORECASE)
-    return text.rlike("(?i)" + folded.replace(r"\b", ASCII_EDGE))
+    return text.rlike("(?i)" + _first_letters(pattern) + folded.replace(r"\b", ASCII_EDGE))
+
+
+def _first_letters(pattern: str) -> str:
+    """A look at the next letter, which passes most places by before their edges are tested, if the pattern is a plain list of words."""
+    words = re.fullmatch(r"\\b\(([^()\[\]]|\[[^\[\]]*\])*\)\\b", pattern) and re.sub(r"\[[^\[\]]*\]", "", pattern[3:-3]).split("|")
+    if not words or not all(re.match("[a-z]", w, re.IGNORECASE) and not re.match(".[?*]", w) for w in words):
+        return ""
+    first = sorted({w[0].lower() for w in words})
+    return "(?=[" + "".join(first) + "".join(ASCII_FOLDS[c][2] for c in first if c in ASCII_FOLDS) + "])"
 
 
 def _without(value, ignored):
@@ -121,16 +128,31 @@ def rule_text(source_type="source_type", content_json="content_json", payload_js
         plain_json(content_json), plain_json(payload_json) if payload_json is not None else F.lit("null"))
 
 
+def stem_bits(text: Column, names: Sequence[str], stems: Mapping[str, Sequence[Sequence[str]]] = STEMS) -> Column:
+    """A bit for every name whose pattern may match: the text holds the letters that it needs, or letters that an any-case search folds."""
+    needs = [tuple(stems.get(k, ())) for k in names]
+
+    # the searches of Python's strings pass over the text many times faster than those of Spark; row by row as in plain_json
+    @F.udf(LongType(), useArrow=False)
+    def bits(value: str | None) -> int:
+        if value is None:
+            return 0
+        if any(c in value for c in FOLDED):
+            return (1 << len(needs)) - 1
+        low = value.lower()
+        return sum(1 << i for i, groups in enumerate(needs) if all(any(w in low for w in g) for g in groups))
+
+    return bits(text)
+
+
 def pattern_hits(text: Column, patterns: Mapping[str, str] = PATTERNS, stems: Mapping[str, Sequence[Sequence[str]]] = STEMS, ascii_words: bool = False) -> Column:
     """struct of one boolean per pattern: every pattern runs once per row, and only where the text holds letters it needs."""
-    holds = lambda t, words: functools.reduce(operator.or_, (F.contains(t, F.lit(w)) for w in words))
 
     def flags(x: Column) -> Column:
-        low, raw = x["low"], x["raw"]
-        able = {k: functools.reduce(operator.and_, (holds(low, g) for g in stems[k])) | holds(raw, FOLDED) if k in stems else F.lit(True) for k in patterns}
-        return F.struct(*[F.when(able[k], matches(raw, p, ascii_words)).when(raw.isNotNull(), F.lit(False)).alias(k) for k, p in patterns.items()])
+        able, raw = x["able"], x["raw"]
+        return F.struct(*[F.when(F.getbit(able, F.lit(i)) == 1, matches(raw, p, ascii_words)).when(raw.isNotNull(), F.lit(False)).alias(k) for i, (k, p) in enumerate(patterns.items())])
 
-    return F.get(F.transform(F.array(F.struct(F.lower(text).alias("low"), text.alias("raw"))), flags), F.lit(0))
+    return F.get(F.transform(F.array(F.struct(stem_bits(text, list(patterns), stems).alias("able"), text.alias("raw"))), flags), F.lit(0))
 
 
 def longevity_override(hit: Mapping[str, Column], source_type, current, flagged: Column | None = None) -> Column:
@@ -177,17 +199,22 @@ def risk_override(hit: Mapping[str, Column], source_type, current) -> Column:
         default=merged)
 
 
-def passes_longevity(text: Column, tag="longevity_relevance", patterns: Mapping[str, str] = PATTERNS, ascii_words: bool = False) -> Column:
-    tag = as_col(tag)
-    context, oncology = matches(text, patterns["aging_context"], ascii_words), matches(text, patterns["oncology"], ascii_words)
-    return F.coalesce(F.when(tag == "indirect_longevity_mechanism", context).when(tag == "direct_longevity", context | ~oncology), F.lit(False))
+def _searched(text: Column | None, hits, patterns: Mapping[str, str], ascii_words: bool):
+    """Whether a pattern is found, by its name: read from the struct ``hits`` where there is one, else searched in the text."""
+    return (lambda k: as_col(hits)[k]) if hits is not None else (lambda k: matches(text, patterns[k], ascii_words))
+
+
+def passes_longevity(text: Column | None = None, tag="longevity_relevance", patterns: Mapping[str, str] = PATTERNS, ascii_words: bool = False, hits=None) -> Column:
+    """``hits`` as of ``pattern_hits`` saves the searches."""
+    tag, found = as_col(tag), _searched(text, hits, patterns, ascii_words)
+    return F.coalesce(F.when(tag == "indirect_longevity_mechanism", found("aging_context")).when(tag == "direct_longevity", found("aging_context") | ~found("oncology")), F.lit(False))
 
 
-def passes_risk(text: Column, source_type="source_type", tag="risk_relevance", patterns: Mapping[str, str] = PATTERNS, ascii_words: bool = False) -> Column:
-    tag, source = as_col(tag), text_of(source_type)
-    off_topic = matches(text, patterns["oncology"], ascii_words) & ~matches(text, patterns["aging_context"], ascii_words)
+def passes_risk(text: Column | None = None, source_type="source_type", tag="risk_relevance", patterns: Mapping[str, str] = PATTERNS, ascii_words: bool = False, hits=None) -> Column:
+    tag, source, found = as_col(tag), text_of(source_type), _searched(text, hits, patterns, ascii_words)
+    off_topic = found("oncology") & ~found("aging_context")
     assay = source.isin(*ASSAY_SOURCES)
-    strong = matches(text, patterns["human_safety"], ascii_words) | matches(text, patterns["interaction"], ascii_words)
+    strong = found("human_safety") | found("interaction")
     literature = source.isin("clinical_trials", "europe_pmc") | F.startswith(source, F.lit("openalex"))
     toxic = case((assay, F.lit(False)), (source.isin(*LABEL_SOURCES), F.lit(True)), (strong, F.lit(True)), (off_topic, F.lit(False)), default=literature)
     return F.coalesce(case(

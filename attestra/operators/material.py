@@ -101,14 +101,17 @@ def reuse_tags(rows: DataFrame, cache: DataFrame, key: str = "material_key", tag
     return out
 
 
-def apply_rules(rows: DataFrame, ascii_words: bool = False) -> DataFrame:
-    """Both overrides over the rule text, which is built once per row. ``ascii_words`` as in ``rules.matches``."""
+def apply_rules(rows: DataFrame, ascii_words: bool = False, hits: str | None = None) -> DataFrame:
+    """Both overrides over the rule text, which is built and searched once per row. ``ascii_words`` as in ``rules.matches``; ``hits`` names a column that keeps what was found."""
     flags = F.exists(F.map_values(field("content", "longevity_pathway_flags", "map<string,boolean>")), lambda v: v)
-    text = rows.withColumn("_text", rule_text(content_json=F.to_json("content"))).withColumn("_hits", pattern_hits(F.col("_text"), ascii_words=ascii_words)).drop("_text")
-    hits = {k: F.col(f"_hits.{k}") for k in PATTERNS}
-    longevity = longevity_override(hits, "source_type", "longevity_relevance", flags)
-    return text.withColumns({"_l": longevity, "_r": risk_override(hits, "source_type", "risk_relevance")}).withColumns(
-        {"longevity_relevance": F.col("_l"), "risk_relevance": F.col("_r")}).drop("_hits", "_l", "_r")
+    # explode of one value: the patterns run once for a row, where a plain column would be put in wherever one of its fields is used
+    found = F.explode(F.array(pattern_hits(F.col("_text"), ascii_words=ascii_words))).alias("_hits")
+    text = rows.withColumn("_text", rule_text(content_json=F.to_json("content"))).select(*rows.columns, found)
+    hit = {k: F.col(f"_hits.{k}") for k in PATTERNS}
+    longevity = longevity_override(hit, "source_type", "longevity_relevance", flags)
+    tagged = text.withColumns({"_l": longevity, "_r": risk_override(hit, "source_type", "risk_relevance")}).withColumns(
+        {"longevity_relevance": F.col("_l"), "risk_relevance": F.col("_r")}).drop("_l", "_r")
+    return tagged.drop("_hits") if hits is None else tagged.withColumnRenamed("_hits", hits)
 
 
 def compound_scores(units: DataFrame, by: Sequence[str]) -> DataFrame:

@@ -24,3 +24,10 @@ def test_same_rows_as_sql(spark, odd, name):
     rel = con.execute(ORACLES[name])
     df = QUERIES[name](spark, odd)
     assert digest(df.columns, [tuple(r) for r in df.collect()]) == digest([d[0] for d in rel.description], rel.fetchall())
+
+
+@pytest.mark.parametrize("name", ["relevance_overrides", "export_filters", "union_axes_counts"])
+def test_patterns_run_once_for_a_row(spark, odd, name):
+    plan = QUERIES[name](spark, odd)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("chronological aging") == 2  # of the patterns "direct" and "aging_context"
+    assert plan.count("Relation") == 1
