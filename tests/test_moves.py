@@ -49,6 +49,21 @@ def test_borrowed_citations_meet_on_thinned_seeds(spark, tmp_path):
     assert thinned(spark, tmp_path, "borrow_citations")
 
 
+def test_borrowed_citations_move_the_texts_of_candidates_alone(spark, tmp_path):
+    """Texts that no claim can lie in stay where they are, also in a document with a claim of one long word."""
+    said = "the same long sentence is said by one chunk and by another one of the document"
+    noise = "(SELECT string_agg(substr(md5('{i} ' || k), 1, 9), ' ') FROM range(9000) AS r(k))"
+    apart = [(100 + i, f"{noise.format(i=i)} || ' (3)'") for i in range(24)] + [(124, "'short (3)'")]  # each one's next cites, so their claims ask for nothing
+    rows = [(1, f"'{said}'"), (5, f"'before {said} after (3, 4)'"), (20, f"'{'x' * 40}'"), (22, f"'{'x' * 50} (8)'"), *apart]
+    found = lambda: spark.sparkContext._jsc.sc().statusStore().executorList(True)
+    moved = lambda: sum(e.totalShuffleWrite() for e in map(found().apply, range(found().size())))
+    duckdb.sql(docs(rows)).write_parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{tmp_path}/documents.parquet").repartition(8).write.parquet(f"{tmp_path}/spread/documents.parquet")  # as many files as cores: the scan moves nothing
+    before = moved()
+    got = {r.claim_id: r.numbers for r in QUERIES["borrow_citations"](spark, f"{tmp_path}/spread").collect()}
+    assert (got[1], got[20]) == ("3,4", "8") and moved() - before < 500_000  # the noise is 2 MB
+
+
 def test_labels_with_aliases_of_any_length(spark, tmp_path):
     rows = [(10, "'xxalpha beta gamma'"), (11, "'the ALPHA of it'"), (12, "'alph'"), (20, "'qqb       '"), (21, "'ab'"), (30, "'zzxy      and'"), (31, "'a yxyx'"), (33, "NULL")]
     assert same(spark, tmp_path, "label_matches", {"documents": docs(rows)})
